@@ -20,7 +20,7 @@ U64 = np.uint64
 BASE = U64(0x9E3779B97F4A7C15)
 BASE_INV = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: Bytes of text that one call works on; a longer text is still worked on whole.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

@@ -32,8 +32,8 @@ from folioframe.llm.shared import bloom_has, bloom_of, saved, work_dir
 
 WIDTH = 5
 #: A shingle is frequent if it is in so many classes of FLUSH shingles; the most frequent MOST_COMMON are broadcast (1.6 MB).
-LOCAL_COMMON, MOST_COMMON = 8, 200_000
-FLUSH = 4_000_000
+LOCAL_COMMON, MOST_COMMON = 4, 200_000
+FLUSH = 1_000_000
 #: Shingles and classes of a block; two blocks meet in one task.
 BLOCK_SHINGLES, BLOCK_CLASSES = 1_000_000, 2_000
 
