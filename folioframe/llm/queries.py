@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm import decontamination, language_id, near_dup, packing, toxicity
+from folioframe.llm import decontamination, language_id, near_dup, packing, quality, toxicity, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The rules of op8, as (verdict, host/path).
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(_table(spark, sf_dir, "pages"), "page_id", "url", "html").drop("warc_record_id", "warc_date", "target_uri")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     score = toxicity.scorer(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
@@ -41,7 +49,19 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_toxicity, op4_jaccard_join, op5_packing, op6_decontamination, op7_language_id)}
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.learn(docs))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_warc, op3_toxicity, op4_jaccard_join, op5_packing, op6_decontamination, op7_language_id, op8_url_filter, op9_quality)
+}
 
 _WORDS = r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 #: Distinct shingles of each row: (id, shingle).
@@ -55,7 +75,18 @@ def _shingles(table: str, key: str) -> str:
     return _SHINGLES.format(id=key, table=table, words=_WORDS.format(text="coalesce(text, '')"))
 
 
+#: Base32 of a SHA-1 in hex: every five hex digits are four letters.
+_BASE32 = """array_to_string(list_transform(range(0, 32), lambda k:
+substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * (k // 4)::INT, 5))::BIGINT >> (5 * (3 - k % 4))::INT) & 31)::INT, 1)), '')"""
+
 ORACLE_SQL = {
+    "op1_warc": f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h)
+SELECT page_id, n AS payload_bytes, {_BASE32.replace("h,", "p.h,")} AS payload_digest,
+CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p JOIN f ON p.h = f.h
+""",
     "op4_jaccard_join": f"""
 WITH RECURSIVE s AS MATERIALIZED ({_shingles("documents", "doc_id")}),
 n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
