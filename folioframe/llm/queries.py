@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm import decontamination, language_id, near_dup, packing, quality, toxicity, url_filter, warc
+from folioframe.llm import decontamination, language_id, lm, near_dup, packing, quality, toxicity, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,9 +58,15 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.learn(docs))
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = language_id.held_out(F.col("doc_id"), 10)
+    return lm.score(docs, lm.train(docs.where(~held_out)), held_out)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_warc, op3_toxicity, op4_jaccard_join, op5_packing, op6_decontamination, op7_language_id, op8_url_filter, op9_quality)
+    for f in (op1_warc, op3_toxicity, op4_jaccard_join, op5_packing, op6_decontamination, op7_language_id, op8_url_filter, op9_quality, op10_lm_score)
 }
 
 _WORDS = r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
