@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm import decontamination, language_id, lm, near_dup, packing, quality, toxicity, url_filter, warc
+from folioframe.llm import decontamination, language_id, license_scan, lm, near_dup, packing, quality, toxicity, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(_table(spark, sf_dir, "pages"), "page_id", "url", "html").drop("warc_record_id", "warc_date", "target_uri")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return license_scan.scan(docs, license_scan.train(docs))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     score = toxicity.scorer(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
@@ -66,7 +71,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_warc, op3_toxicity, op4_jaccard_join, op5_packing, op6_decontamination, op7_language_id, op8_url_filter, op9_quality, op10_lm_score)
+    for f in (op1_warc, op2_license_scan, op3_toxicity, op4_jaccard_join, op5_packing, op6_decontamination, op7_language_id, op8_url_filter, op9_quality, op10_lm_score)
 }
 
 _WORDS = r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
