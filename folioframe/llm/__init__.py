@@ -1,0 +1 @@
+"""The subpackage of training-data operators; nothing else in the library imports it."""
