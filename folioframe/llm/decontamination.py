@@ -4,13 +4,15 @@ The item's containment in a document is the share of its distinct five-word shin
 has; THRESHOLD or more is a hit. MinHash estimates Jaccard similarity, which is near 0 between a short
 item and a long text, so both sides are partitioned by size:
 
-* items by their number of shingles, in classes [8 * 2**c, 16 * 2**c) (the first from 1);
+* items by their number of shingles, in classes of 8 * 2**c + 1 to 16 * 2**c;
 * each document into windows of a class's largest size, at every half window, so that the piece of a document
   that holds an item is about as large as the item. The minima of small blocks are computed once and
   merged into those of larger windows.
 
 An item and a window are candidates if any of PERMUTATIONS minima agree: with Jaccard j that fails with
-(1 - j) ** PERMUTATIONS, under 1e-5 for a whole item (j >= 0.3). Candidates are verified by
+(1 - j) ** PERMUTATIONS. Some window has j >= 0.5 with an item that stands whole (6e-8), and j >= 0.36 with four fifths
+of one that stand together (2e-5). Items of 8 shingles or fewer form a class of their own whose windows are single
+shingles: all their shingles are indexed, and none is missed. Candidates are verified by
 exact containment in the document's whole shingle set, where they are found: there is no shuffle.
 
 Items are broadcast in blocks of at most BLOCK_ITEMS, one pass over the documents for each block.
@@ -49,7 +51,14 @@ class Items:
         value, first = kernels.shingles(kernels.Words(texts, lower=True), WIDTH)
         size = np.diff(first)
         self.ids, self.value, self.first, self.size = ids, value, first, size
-        full = np.flatnonzero(size)
+        tiny = np.flatnonzero((size > 0) & (size <= BLOCK))
+        owner = np.repeat(tiny, size[tiny])
+        mine = np.concatenate([value[first[i] : first[i + 1]] for i in tiny]) if len(tiny) else np.zeros(0, U64)
+        order = np.argsort(mine, kind="stable")
+        self.tiny, self.tiny_owner = mine[order], owner[order]
+        self.tiny_maybe = np.zeros(1 << 16, bool)
+        self.tiny_maybe[self.tiny >> U64(8) & U64(0xFFFF)] = True
+        full = np.flatnonzero(size > BLOCK)
         cls = np.minimum(np.maximum(np.ceil(np.log2(np.maximum(size, 1) / (2 * BLOCK) + 1e-9)), 0).astype(int), CLASSES - 1)
         self.tables: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         for c in sorted(set(cls[full].tolist())):
@@ -72,8 +81,14 @@ class Items:
         doc = np.repeat(np.arange(n_docs), blocks)
         at = first[doc] + (np.arange(start[-1]) - start[doc]) * BLOCK
         found = []
-        if not len(at):
-            return np.zeros(0, np.int64)
+        if len(self.tiny):
+            hit = np.flatnonzero(self.tiny_maybe[grams >> U64(8) & U64(0xFFFF)])
+            low, high = np.searchsorted(self.tiny, grams[hit]), np.searchsorted(self.tiny, grams[hit], "right")
+            where = np.searchsorted(first, hit, side="right") - 1
+            for d, x, y in zip(where[high > low].tolist(), low[high > low].tolist(), high[high > low].tolist(), strict=True):
+                found.append(d * len(self.size) + self.tiny_owner[x:y])
+        if not len(at) or not self.tables:
+            return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
         last = np.concatenate([doc[1:] != doc[:-1], [True]])
         for p, a in enumerate(_MULTIPLIERS):
             with np.errstate(over="ignore"):
@@ -126,7 +141,7 @@ def _search(items_of, threshold: float):
         n = len(items.size)
         for batch in batches:
             for at, texts in kernels.chunks(batch.column(1)):
-                if not items.tables:
+                if not items.size.any():
                     continue
                 grams, first = _document_grams(texts)
                 pairs = items.candidates(grams, first)

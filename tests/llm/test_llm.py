@@ -259,10 +259,10 @@ def test_least_squares_meets_a_solvable_histogram():
 
 def test_items_against_brute_force(spark):
     rng = np.random.default_rng(4)
-    items = [" ".join(f"t{k}q{j}" for j in range(n)) for k, n in enumerate([5, 6, 9, 15, 20, 33, 57, 120, 400])] + [None, "", "two words"]
+    items = [" ".join(f"t{k}q{j}" for j in range(n)) for k, n in enumerate([5, 6, 9, 12, 13, 15, 20, 33, 57, 120, 400])] + [None, "", "two words"]
     prose = lambda n: " ".join(f"p{x}" for x in rng.integers(0, 5000, n))
     texts = [f"{prose(int(rng.integers(0, 900)))} {it} {prose(int(rng.integers(0, 900)))}" for it in items if it] + [prose(2000), "Two words", *ODD]
-    half = items[6].split()
+    half = items[8].split()
     texts += [" ".join([*half[:30], prose(3000), *half[26:]]), " ".join(half[:20])]
     docs = table(spark, texts)
     tests = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
