@@ -239,9 +239,11 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         done = done.union(components(open_links, f"{path}/blocks"))
     reached = done.join(classes.select(F.col("class").alias("node"), "least_id"), "node")
     least = reached.groupBy("root").agg(F.min("least_id").alias("component"))
-    by_class = classes.join(
-        done.join(least, "root").select(F.col("node").alias("class"), "component"), "class", "left"
-    ).select("class", F.coalesce("component", "least_id").alias("component"))
+    linked = done.join(least, "root").select(F.col("node").alias("class"), "component")
+    # A table of its own: the join below then deals both sides for itself alone, and a class with very many copies can be split.
+    by_class = saved(
+        classes.join(linked, "class", "left").select("class", F.coalesce("component", "least_id").alias("component")), f"{path}/by-class"
+    )
     # Rows with an empty set are not looked up, so that they do not meet as one key.
     found = described.where("n > 0").join(by_class, "class").select("id", "n", "class", "component")
     alone = described.where("n = 0").select("id", "n", "class", F.col("id").alias("component"))
