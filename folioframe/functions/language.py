@@ -6,14 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def ngrams(text: Column, longest: int = 3) -> Column:
-    """All n-grams of one to `longest` characters of the lower-cased words, each word between underscores."""
+def _of_length(words: Column, n: int) -> Column:
+    """The n-grams of each word; a word's own lambda takes one argument, as a second one would be bound to its index."""
+    starts = lambda w: F.when(F.length(w) >= n, F.sequence(F.lit(1), F.length(w) - n + 1)).otherwise(F.expr("cast(array() as array<int>)"))
+    return F.flatten(F.transform(words, lambda w: F.transform(starts(w), lambda i: F.substr(w, i, F.lit(n)))))
+
+
+def ngrams(text: Column, longest: int = 5) -> Column:
+    """All n-grams of one to `longest` characters of the lower-cased words, each word between underscores; a lone underscore is none."""
     padded = F.transform(F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+)"), 1), lambda w: F.concat(F.lit("_"), w, F.lit("_")))
-    grams = [
-        F.flatten(F.transform(padded, lambda w, n=n: F.when(F.length(w) >= n, F.transform(F.sequence(F.lit(1), F.length(w) - n + 1), lambda i: F.substr(w, i, F.lit(n)))).otherwise(F.expr("cast(array() as array<string>)"))))
-        for n in range(1, longest + 1)
-    ]
-    return F.concat(*grams)
+    return F.filter(F.concat(*(_of_length(padded, n) for n in range(1, longest + 1))), lambda g: g != "_")
 
 
 def profiles(rows: DataFrame, category: str, text: str, most: int = 400) -> DataFrame:

@@ -5,6 +5,7 @@ Codes are as wide as the indexes that use them: 2 + 3 + 3 digits for book, chapt
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -21,6 +22,11 @@ def _range(lower: Column, upper: Column) -> Column:
     return F.struct(lower.alias("lower"), upper.alias("upper"))
 
 
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with value computed once a row however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _pad(c: Column, n: int) -> Column:
     return F.lpad(c, n, "0")
 
@@ -31,7 +37,10 @@ def scripture(text: Column, book: Column) -> Column:
     Empty text is the whole book. `1`, `1-3`, `1,2`, `1,2-5`, `1,2-3,4` and `1-3,4` are one range; after a chapter, verses and ranges of
     verses divided by periods must rise. A colon is a comma, letters behind a verse do not count, blanks do not either.
     """
-    t = F.regexp_replace(text, r"[ \t]", "")
+    return _let(F.regexp_replace(text, r"[ \t]", ""), lambda t: _scripture(t, book))
+
+
+def _scripture(t: Column, book: Column) -> Column:
     one = r"^(\d{1,3})(?:[,:](\d{1,3})[a-z]*)?(?:-(?:(\d{1,3})[,:])?(\d{1,3})([a-z]*))?$"
     c1, v1, c2, last, letters = (F.regexp_extract(t, one, k) for k in range(1, 6))
     to_chapter = (v1 == "") & (c2 == "")
@@ -96,14 +105,15 @@ def times(text: Column, current_year: int, centuries: bool = False) -> Column:
 
     With centuries, spans between full hundreds end a year earlier.
     """
-    t = F.regexp_replace(F.regexp_replace(text, "^ca\\. ", ""), "-ca\\. ", "-")
-    t = _without_placeholders(t)
+    t = _let(F.regexp_replace(F.regexp_replace(text, "^ca\\. ", ""), "-ca\\. ", "-"), _without_placeholders)
     t = F.regexp_replace(t, r"^(\d{1,4})-(\d{1,2}\.\d{1,2}\.\d{1,4})$", "01.01.$1-$2")
     t = F.regexp_replace(t, r"^(\d{1,2}\.\d{1,2}\.\d{1,4})-(\d{1,4})$", "$1-31.12.$2")
     t = F.regexp_replace(t, r"^(\d{1,4})-(\d{1,2})-(\d{1,2})$", "$3.$2.$1")
     t = F.regexp_replace(t, r"^(\d{1,4})-$", "01.01.$1-")
-    t = F.regexp_replace(t, r"^-(\d{1,4})$", "-31.12.$1")
+    return _let(F.regexp_replace(t, r"^-(\d{1,4})$", "-31.12.$1"), lambda u: _times(u, current_year, centuries))
+
 
+def _times(t: Column, current_year: int, centuries: bool) -> Column:
     def out(pattern: str, lower: Column, upper: Column) -> tuple[str, Column]:
         return pattern, F.concat(lower, F.lit("_"), upper)
 
@@ -155,4 +165,4 @@ def times_text(code: Column) -> Column:
         days = F.when(rest == plain, F.lit("")).otherwise(F.concat(F.lit("-"), F.left(rest, F.lit(2)), F.lit("-"), F.right(rest, F.lit(2))))
         return F.when((year == 0) & (rest == "0000"), F.lit("")).otherwise(F.concat(shown, days))
 
-    return F.concat(side(F.substring_index(code, "_", 1), "0101"), F.lit(" - "), side(F.substring_index(code, "_", -1), "1231"))
+    return _let(code, lambda c: F.concat(side(F.substring_index(c, "_", 1), "0101"), F.lit(" - "), side(F.substring_index(c, "_", -1), "1231")))

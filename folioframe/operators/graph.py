@@ -62,3 +62,38 @@ def propagate(tagged: DataFrame, edges: DataFrame, node: str, tag: str, src: str
         found.write.parquet(f"{path}/{k}")
         if spark.read.parquet(f"{path}/{k}").isEmpty():
             return known
+
+
+def levels(edges: DataFrame, src: str, dst: str, max_rounds: int = 1000) -> DataFrame:
+    """(node, level) in topological order: nodes without a predecessor have level 0, others one more than their last predecessor.
+
+    A node on or behind a cycle has level null. Each round takes away the nodes with no predecessor left and is written to the shared folder.
+    """
+    spark, path = edges.sparkSession, _folder(edges.sparkSession)
+    e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).distinct()
+    nodes = e.select(F.col("u").alias("node")).union(e.select("v")).distinct()
+    nodes.write.parquet(f"{path}/nodes")
+    e.write.parquet(f"{path}/edges-0")
+    nodes.limit(0).withColumn("level", F.lit(0)).write.parquet(f"{path}/done-start")
+    done, left = [f"{path}/done-start"], spark.read.parquet(f"{path}/nodes")
+    for k in range(max_rounds):
+        e = spark.read.parquet(f"{path}/edges-{k}")
+        free = left.join(e.select(F.col("v").alias("node")).distinct(), "node", "left_anti")
+        free.withColumn("level", F.lit(k)).write.parquet(f"{path}/done-{k}")
+        free = spark.read.parquet(f"{path}/done-{k}").select("node")
+        if free.isEmpty():
+            break
+        done.append(f"{path}/done-{k}")
+        left.join(free, "node", "left_anti").write.parquet(f"{path}/left-{k}")
+        left = spark.read.parquet(f"{path}/left-{k}")
+        e.join(free.withColumnRenamed("node", "u"), "u", "left_anti").write.parquet(f"{path}/edges-{k + 1}")
+    else:
+        raise RuntimeError(f"more than {max_rounds} levels")
+    return spark.read.parquet(*done).select("node", "level").unionByName(left.select("node", F.lit(None).cast("int").alias("level")))
+
+
+def cyclic(edges: DataFrame, src: str, dst: str) -> DataFrame:
+    """Nodes from which a cycle's nodes cannot be taken away from either side: those on a cycle or on a path between two."""
+    behind = levels(edges, src, dst).where("level is null").select("node")
+    before = levels(edges, dst, src).where("level is null").select("node")
+    return behind.join(before, "node", "left_semi")

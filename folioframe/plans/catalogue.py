@@ -5,40 +5,16 @@ Each runs an operator of this library on whole tables; the SQL is written on its
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioframe.functions import text
 from folioframe.operators import graph, intervals, joins, ranking, sets
+from folioframe.plans import record_catalogue  # noqa: F401
+from folioframe.plans.registry import ORACLE_SQL, QUERIES, Tables, query  # noqa: F401
 from folioframe.records import model
 from folioframe.records.query import compile_conjunction, compile_query
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-class Tables:
-    """Tables of a folder by name."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-
-    def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
-
-def query(sql: str):
-    def add(f: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
-        ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 # Aggregations.
 
 

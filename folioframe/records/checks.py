@@ -39,21 +39,22 @@ def parse_rules(text: str) -> list[Rule]:
 def violations(records: DataFrame, rules: list[Rule], key: str = "control_number") -> DataFrame:
     """(key, rule, value): each value that breaks a rule, with the rule's number from 0."""
     kind = "array<struct<rule: int, value: string>>"
-    found = [F.expr(f"cast(array() as {kind})")]
-    for k, r in enumerate(rules):
 
-        def broken(f: Column, k: int = k, r: Rule = r) -> Column:
+    def breaches(k: int, r: Rule) -> Column:
+        def broken(f: Column) -> Column:
             values = F.transform(F.filter(f["subfields"], lambda s: s["code"] == r.code), lambda s: s["value"])
             values = F.slice(values, 1, 1) if r.first_only else values
             return F.transform(F.filter(values, lambda v: ~v.rlike(r.pattern)), lambda v: F.struct(F.lit(k).alias("rule"), v.alias("value")))
 
-        def concerned(f: Column, r: Rule = r) -> Column:
+        def concerned(f: Column) -> Column:
             out = f["tag"] == r.tag
             for name, want in (("ind1", r.ind1), ("ind2", r.ind2)):
                 out = out if want == "#" else out & (f[name] == want)
             return out
 
-        found.append(F.flatten(F.transform(F.filter("fields", concerned), broken)))
+        return F.flatten(F.transform(F.filter("fields", concerned), broken))
+
+    found = [F.expr(f"cast(array() as {kind})"), *(breaches(k, r) for k, r in enumerate(rules))]
     return records.select(key, F.explode(F.concat(*found)).alias("v")).select(key, "v.rule", "v.value")
 
 
