@@ -2,29 +2,69 @@
 
     expr   = term {"OR" term}
     term   = factor {"AND" factor}
-    factor = ["NOT"] ("(" expr ")" | reference ("==" | "!=") ("text" | /pattern/) | reference "EXISTS")
+    factor = ["NOT"] ("(" expr ")" | reference ("==" | "!=") ("text" | /pattern/) | reference "EXISTS" | function "(" ["text" {"," "text"}] ")")
 
-A reference is a tag of three characters with an optional subfield code, in quotes or bare (245a). == holds if any
+Functions are registered with `function`; their number of arguments is checked. A reference is a tag of three characters with an optional subfield code, in quotes or bare (245a). == holds if any
 occurrence agrees, != if none does, NOT is logical negation.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folioframe.records import model
+from folioframe.records import checks, model
 
-_TOKEN = re.compile(r'\s*(?:(?P<text>"(?:[^"\\]|\\.)*")|(?P<pattern>/(?:[^/\\]|\\.)*/)|(?P<op>==|!=|\(|\))|(?P<word>[A-Za-z0-9]+))')
+_TOKEN = re.compile(r'\s*(?:(?P<text>"(?:[^"\\]|\\.)*")|(?P<pattern>/(?:[^/\\]|\\.)*/)|(?P<op>==|!=|\(|\)|,)|(?P<word>[A-Za-z0-9]+))')
 
 
 class QueryError(ValueError):
     pass
 
 
+#: Name to (number of arguments, maker of the condition from the leader, the fields and the arguments).
+FUNCTIONS: dict[str, tuple[int, Callable[..., Column]]] = {}
+
+
+def function(name: str, arity: int = 0):
+    """Registers a function of the query language: f(leader, fields, *texts) gives a boolean Column."""
+
+    def add(f: Callable[..., Column]) -> Callable[..., Column]:
+        FUNCTIONS[name] = (arity, f)
+        return f
+
+    return add
+
+
+@function("IsArticle")
+def _is_article(leader: Column, fields: Column) -> Column:
+    return checks.is_component(leader)
+
+
+@function("IsSerial")
+def _is_serial(leader: Column, fields: Column) -> Column:
+    return checks.is_serial(leader)
+
+
+@function("IsMonograph")
+def _is_monograph(leader: Column, fields: Column) -> Column:
+    return checks.is_monograph(leader)
+
+
+@function("IsElectronic")
+def _is_electronic(leader: Column, fields: Column) -> Column:
+    return checks.is_electronic(leader, fields)
+
+
+@function("HasValue", 2)
+def _has_value(leader: Column, fields: Column, reference: str, value: str) -> Column:
+    return F.exists(model.values(fields, reference[:3], reference[3:]), lambda v: v == value)
+
+
 @dataclass(frozen=True)
 class Token:
     kind: str
@@ -46,8 +86,8 @@ def tokens(query: str) -> list[Token]:
 
 
 class _Parser:
-    def __init__(self, query: str, fields: Column):
-        self.rest, self.fields = tokens(query)[::-1], fields
+    def __init__(self, query: str, fields: Column, leader: Column):
+        self.rest, self.fields, self.leader = tokens(query)[::-1], fields, leader
 
     def peek(self, *values: str) -> bool:
         return bool(self.rest) and self.rest[-1].kind in ("word", "op") and self.rest[-1].value in values
@@ -83,6 +123,8 @@ class _Parser:
             self.take()
             return out
         reference = self.take()
+        if reference.kind == "word" and self.peek("("):
+            return self.call(reference.value)
         if reference.kind not in ("word", "text") or len(reference.value) not in (3, 4):
             raise QueryError(f"no reference: {reference.value!r}")
         tag, code = reference.value[:3], reference.value[3:] or None
@@ -98,10 +140,28 @@ class _Parser:
         found = model.matches(self.fields, tag, code, pattern)
         return found if op.value == "==" else ~found
 
-
-def compile_query(query: str, fields: Column | None = None) -> Column:
-    """A boolean Column for the query over an array of fields (by default the column `fields`)."""
-    parser = _Parser(query, F.col("fields") if fields is None else fields)
+    def call(self, name: str) -> Column:
+        self.take()
+        given = []
+        while not self.peek(")"):
+            if given and self.take().value != ",":
+                raise QueryError(f"no comma between the arguments of {name}")
+            argument = self.take()
+            if argument.kind != "text":
+                raise QueryError(f"no text: {argument.value!r}")
+            given.append(argument.value)
+        self.take()
+        if name not in FUNCTIONS:
+            raise QueryError(f"no function {name!r}")
+        arity, make = FUNCTIONS[name]
+        if len(given) != arity:
+            raise QueryError(f"{name} takes {arity} arguments, not {len(given)}")
+        return make(self.leader, self.fields, *given)
+
+
+def compile_query(query: str, fields: Column | None = None, leader: Column | None = None) -> Column:
+    """A boolean Column for the query over an array of fields (by default the columns `fields` and, for functions, `leader`)."""
+    parser = _Parser(query, F.col("fields") if fields is None else fields, F.col("leader") if leader is None else leader)
     out = parser.expr()
     if parser.rest:
         raise QueryError(f"unexpected {parser.rest[-1].value!r}")
