@@ -18,11 +18,16 @@ def ngrams(text: Column, longest: int = 5) -> Column:
     return F.filter(F.concat(*(_of_length(padded, n) for n in range(1, longest + 1))), lambda g: g != "_")
 
 
-def profiles(rows: DataFrame, category: str, text: str, most: int = 400) -> DataFrame:
-    """(category, ngram, weight): the `most` frequent n-grams of each category, weights scaled to length 1."""
+def ngram_counts(rows: DataFrame, category: str, text: str, most: int = 400) -> DataFrame:
+    """(category, ngram, n, place): the `most` frequent n-grams of each category, ties in the n-grams' order."""
     counts = rows.select(category, F.explode(ngrams(F.col(text))).alias("ngram")).groupBy(category, "ngram").agg(F.count("*").alias("n"))
     order = Window.partitionBy(category).orderBy(F.desc("n"), "ngram")
-    top = counts.withColumn("r", F.row_number().over(order)).where(F.col("r") <= most)
+    return counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
+
+
+def profiles(rows: DataFrame, category: str, text: str, most: int = 400) -> DataFrame:
+    """(category, ngram, weight): the `most` frequent n-grams of each category, weights scaled to length 1."""
+    top = ngram_counts(rows, category, text, most)
     norm = F.sqrt(F.sum(F.col("n") * F.col("n")).over(Window.partitionBy(category)))
     return top.select(category, "ngram", (F.col("n") / norm).alias("weight"))
 
