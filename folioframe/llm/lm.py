@@ -3,9 +3,9 @@
 The model is learnt from all training documents. Words are A-Z lower-cased, END closes each text.
 
 * Unigrams: p(w) = (c + 0.1) / (N + 0.1 (V + 1)), c exact for every word.
-* Bigrams of words with MIN_COUNT occurrences or more are counted; those seen MIN_BIGRAM times or more are kept. With c(h) the
-  count of the context and T(h) its kept successors, p(w|h) = c(hw) / (c(h) + T(h)) + lambda(h) p(w), where lambda(h) is
-  the mass that kept successors leave. Trigrams seen MIN_TRIGRAM times or more whose two bigrams are kept: likewise over bigrams. So
+* Bigrams of all known words (MIN_COUNT 1: no word is too rare) are counted; those whose own summed count is MIN_BIGRAM or more
+  are kept. With c(h) the count of the context and T(h) its kept successors, p(w|h) = c(hw) / (c(h) + T(h)) + lambda(h) p(w), where
+  lambda(h) is the mass that kept successors leave. Trigrams whose own summed count is MIN_TRIGRAM or more (so both of their bigrams are kept): likewise over bigrams. So
   each context's probabilities sum to one; a context that is not kept has lambda 1.
 
 Trie, in shards by the hash of the first word:
@@ -44,7 +44,7 @@ from folioframe.llm.kernels import U64
 from folioframe.llm.shared import work_dir
 
 END_HASH = U64(0x9D39247E33776D41)
-MIN_COUNT, MIN_BIGRAM, MIN_TRIGRAM = 16, 2, 3
+MIN_COUNT, MIN_BIGRAM, MIN_TRIGRAM = 1, 2, 3
 ALPHA = 0.1
 STEP = 4096.0
 FLUSH = 2_000_000

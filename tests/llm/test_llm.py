@@ -424,6 +424,17 @@ def test_lm_against_brute_force(spark):
     assert lm.score(docs, lm.train(docs.limit(0)), held).where("score <> 0").count() == 0
 
 
+def test_lm_counts_ngrams_of_rare_words(spark):
+    docs = table(spark, ["zig zag zog"] * 3 + ["zag"] * 2 + ["zog"])
+    trie = lm.train(docs)
+    assert sum(trie.bigrams) == 4  # zig zag, zag zog, zog END, zag END
+    r = lm.score(docs.where("doc_id = 0"), trie, F.lit(False)).first()
+    v, n = 4, 12 + 4 + 2
+    uni = {w: (c + 0.1) / (n + 0.1 * (v + 1)) for w, c in (("zig", 3), ("zag", 5), ("zog", 4), ("END", 6))}
+    p = [uni["zig"], 3 / 4 + 1 / 4 * uni["zag"], 3 / 4 + 1 / 4 * (3 / 7 + 2 / 7 * uni["zog"]), 3 / 4 + 1 / 4 * (4 / 5 + 1 / 5 * uni["END"])]
+    assert r["score"] == pytest.approx(sum(map(math.log10, p)), abs=2e-3)
+
+
 # The pipeline and the SQL.
 
 
