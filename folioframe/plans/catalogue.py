@@ -257,6 +257,26 @@ def tag_propagation(t: Tables) -> DataFrame:
     return graph.propagate(tagged, _edges(t), "node", "tag", "a", "b")
 
 
+_ALL_EDGES = "e AS (SELECT DISTINCT o_custkey AS a, o_custkey * 7 AS b FROM orders)"
+
+
+def _all_edges(t: Tables) -> DataFrame:
+    """One edge of every customer with an order; targets are not folded, so nodes, components and their depth grow with the table."""
+    return t.orders.select(F.col("o_custkey").alias("a"), (F.col("o_custkey") * 7).alias("b"))
+
+
+@query(f"""WITH RECURSIVE {_ALL_EDGES}, u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(node, label) AS (SELECT a, a FROM u UNION SELECT u.b, r.label FROM r JOIN u ON u.a = r.node) SELECT node, min(label) AS canonical FROM r GROUP BY node""")
+def connected_components_all(t: Tables) -> DataFrame:
+    return graph.canonical(_all_edges(t), "a", "b")
+
+
+@query(f"""WITH RECURSIVE {_ALL_EDGES}, r(node, tag) AS (SELECT a, a % 5 FROM e UNION SELECT e.b, r.tag FROM r JOIN e ON e.a = r.node) SELECT node, tag FROM r""")
+def tag_propagation_all(t: Tables) -> DataFrame:
+    tagged = _all_edges(t).select(F.col("a").alias("node"), (F.col("a") % 5).alias("tag"))
+    return graph.propagate(tagged, _all_edges(t), "node", "tag", "a", "b")
+
+
 # Intervals.
 
 _SPANS = "s AS (SELECT l_orderkey AS k, min(epoch(l_shipdate)::BIGINT // 86400) AS lo, max(epoch(l_shipdate)::BIGINT // 86400) AS hi FROM lineitem GROUP BY l_orderkey)"

@@ -1,8 +1,11 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from folioframe.functions import language, text
 from folioframe.operators import graph, intervals, ranking, sets
+from folioframe.plans import catalogue
 from folioframe.records import model
 from folioframe.records.query import QueryError, compile_query
 from folioframe.sources import files
@@ -32,6 +35,41 @@ def test_graph_with_cycles(spark):
     assert sorted(map(tuple, graph.propagate(tags, edges, "node", "tag", "a", "b").collect())) == [(1, "x"), (2, "x"), (3, "x")]
 
 
+def test_graph_against_brute_force(spark):
+    pairs = [(i, i * 37 % 211) for i in range(0, 400, 3)] + [(i, i + 1) for i in range(500, 540)]
+    out, near = {}, {}
+    for a, b in pairs:
+        out.setdefault(a, set()).add(b)
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+
+    def reach(start, steps):
+        seen, todo = {start}, [start]
+        while todo:
+            new = steps.get(todo.pop(), set()) - seen
+            seen |= new
+            todo += new
+        return seen
+
+    edges = spark.createDataFrame(pairs, "a int, b int")
+    assert sorted(map(tuple, graph.canonical(edges, "a", "b").collect())) == sorted((n, min(reach(n, near))) for n in near)
+    seeds = [(a, a % 5) for a in range(0, 400, 12)] + [(505, 1)]
+    tagged = spark.createDataFrame(seeds, "node int, tag int")
+    want = sorted({(n, tag) for a, tag in seeds for n in reach(a, out)})
+    assert sorted(map(tuple, graph.propagate(tagged, edges, "node", "tag", "a", "b").collect())) == want
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the test tables")
+def test_closure_queries_reach_every_customer(spark):
+    sf = "/root/testdata/sf0.01"
+    keys = {r[0] for r in spark.read.parquet(f"{sf}/orders.parquet").select("o_custkey").distinct().collect()}
+    assert max(keys) >= 1000 and any(k % 3 for k in keys)
+    least = lambda k: least(k // 7) if k and k % 7 == 0 and k // 7 in keys else k
+    got = dict(map(tuple, catalogue.QUERIES["connected_components_all"](spark, sf).collect()))
+    assert got == {n: least(n) for k in keys for n in (k, 7 * k)}
+    assert {r["node"] for r in catalogue.QUERIES["tag_propagation_all"](spark, sf).collect()} == set(got)
+
+
 def test_compare_tells_null_from_empty(spark):
     a = spark.createDataFrame([(1, None), (2, "x"), (3, "y")], "k int, v string")
     b = spark.createDataFrame([(1, ""), (2, "x"), (4, "z")], "k int, v string")
