@@ -302,6 +302,20 @@ def interval_overlap(t: Tables) -> DataFrame:
     return met.groupBy("q").agg(F.count("*").alias("n"), F.min("k").alias("first_k"), F.round(F.max(score), 6).alias("best"))
 
 
+_ALL_WINDOWS = "w AS (SELECT o_orderkey AS q, epoch(o_orderdate)::BIGINT // 86400 AS c, epoch(o_orderdate)::BIGINT // 86400 + 3 AS d FROM orders)"
+
+
+@query(f"WITH {_SPANS}, {_ALL_WINDOWS} SELECT q, count(*) AS n, min(k) AS first_k, round(max((least(hi, d) - greatest(lo, c) + 1) / (greatest(hi, d) - least(lo, c) + 1)), 6) AS best FROM s JOIN w ON d >= lo AND c <= hi GROUP BY q")
+def interval_overlap_all(t: Tables) -> DataFrame:
+    """Every order's window. Equal windows and equal spans meet once, with the number and least key of the spans, so pairs grow with the days covered and not with orders squared."""
+    windows = t.orders.select(F.col("o_orderkey").alias("q"), _day("o_orderdate").alias("c"), (_day("o_orderdate") + 3).alias("d"))
+    spans = _spans(t).groupBy("lo", "hi").agg(F.count("*").alias("n"), F.min("k").alias("k"))
+    met = intervals.overlap_join(spans, windows.select("c", "d").distinct(), ("lo", "hi"), ("c", "d"), 32)
+    score = intervals.score(F.col("lo"), F.col("hi"), F.col("c"), F.col("d"))
+    best = met.groupBy("c", "d").agg(F.sum("n").alias("n"), F.min("k").alias("first_k"), F.round(F.max(score), 6).alias("best"))
+    return windows.join(best, ["c", "d"]).select("q", "n", "first_k", "best")
+
+
 @query("""WITH x AS (SELECT o_custkey AS k, epoch(o_orderdate)::BIGINT // 86400 AS lo, epoch(o_orderdate)::BIGINT // 86400 + 30 AS hi FROM orders),
 m AS (SELECT *, max(hi) OVER (PARTITION BY k ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM x),
 i AS (SELECT *, sum(CASE WHEN before IS NULL OR lo > before + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS i FROM m)

@@ -1,4 +1,5 @@
 import os
+from datetime import timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,6 +29,24 @@ def test_overlap_join_is_complete_and_distinct(spark):
     assert sorted(map(tuple, got.collect())) == want
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the test tables")
+def test_overlap_query_has_every_order(spark):
+    sf = "/root/testdata/sf0.001"
+    day = lambda ts: int(ts.replace(tzinfo=timezone.utc).timestamp()) // 86400
+    spans = {}
+    for k, ts in spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_shipdate").toPandas().itertuples(index=False):
+        lo, hi = spans.get(k, (10**9, -1))
+        spans[k] = min(lo, day(ts)), max(hi, day(ts))
+    want = {}
+    for q, ts in spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_orderdate").toPandas().itertuples(index=False):
+        met = [k for k, (lo, hi) in spans.items() if hi >= day(ts) and lo <= day(ts) + 3]
+        if met:
+            want[q] = (len(met), min(met))
+    got = {r["q"]: (r["n"], r["first_k"]) for r in catalogue.QUERIES["interval_overlap_all"](spark, sf).collect()}
+    assert got == want
+    assert any(q % 97 for q in got)
+
+
 def test_graph_with_cycles(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (9, 8), (7, 7)], "a int, b int")
     assert sorted(map(tuple, graph.canonical(edges, "a", "b").collect())) == [(1, 1), (2, 1), (3, 1), (7, 7), (8, 8), (9, 8)]
