@@ -40,3 +40,17 @@ def classify(rows: DataFrame, model: DataFrame, key: str, text: str, category: s
     norms = counts.groupBy(key).agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"))
     best = scored.groupBy(key).agg(F.max_by(F.struct(category, "dot"), F.struct("dot", category)).alias("b"))
     return best.join(norms, key).select(key, F.col(f"b.{category}").alias(category), (F.col("b.dot") / F.col("norm")).alias("score"))
+
+
+def candidates(rows: DataFrame, model: DataFrame, key: str, text: str, category: str, cutoff: float = 1.0) -> DataFrame:
+    """(key, category, score): the profile with the largest cosine and all whose cosine is at least `cutoff` times that.
+
+    A profile that shares no n-gram with the text scores 0; a text without n-grams has no rows. Of a text there is one row a category before the cut.
+    """
+    counts = rows.select(key, F.explode(ngrams(F.col(text))).alias("ngram")).groupBy(key, "ngram").agg(F.count("*").alias("n"))
+    scored = counts.join(model, "ngram").groupBy(key, category).agg(F.sum(F.col("n") * F.col("weight")).alias("dot"))
+    norms = counts.groupBy(key).agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"))
+    each = norms.crossJoin(F.broadcast(model.select(category).distinct())).join(scored, [key, category], "left")
+    got = each.select(key, category, (F.coalesce("dot", F.lit(0.0)) / F.col("norm")).alias("score"))
+    high = F.max("score").over(Window.partitionBy(key))
+    return got.withColumn("__high", high).where((F.col("score") == F.col("__high")) | (F.col("score") >= cutoff * F.col("__high"))).drop("__high")

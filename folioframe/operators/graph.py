@@ -97,3 +97,37 @@ def cyclic(edges: DataFrame, src: str, dst: str) -> DataFrame:
     behind = levels(edges, src, dst).where("level is null").select("node")
     before = levels(edges, dst, src).where("level is null").select("node")
     return behind.join(before, "node", "left_semi")
+
+
+def shortest_cycle(edges: DataFrame, src: str, dst: str, max_rounds: int = 1000) -> DataFrame:
+    """(place, node) of a shortest cycle from its least node on, places from 0; no rows if there is no cycle.
+
+    Breadth-first from all nodes on cycles at once. Each search goes through greater nodes alone, as a cycle is met from its
+    least node; of equally short cycles that with the least such node is given. Rounds are written to the shared folder and
+    hold each (start, node) once, so they sum to the square of the nodes that `cyclic` gives at most.
+    """
+    spark, path = edges.sparkSession, _folder(edges.sparkSession)
+    core = cyclic(edges, src, dst)
+    e = edges.select(F.col(src).alias("node"), F.col(dst).alias("to")).distinct()
+    e.join(core, "node", "left_semi").join(core.withColumnRenamed("node", "to"), "to", "left_semi").select("node", "to").write.parquet(f"{path}/core")
+    e = spark.read.parquet(f"{path}/core")
+    kind = e.schema["node"].dataType.simpleString()
+    found = e.where("to >= node").select(F.col("node").alias("start"), F.col("to").alias("node"), F.col("node").alias("parent"))
+    for k in range(max_rounds):
+        found.write.parquet(f"{path}/{k}")
+        front = spark.read.parquet(f"{path}/{k}")
+        start = front.where("start = node").agg(F.min("start")).first()[0]
+        if start is not None:
+            break
+        if front.isEmpty():
+            return spark.createDataFrame([], f"place int, node {kind}")
+        known = spark.read.parquet(*(f"{path}/{i}" for i in range(k + 1))).select("start", "node")
+        near = front.select("start", "node").join(e, "node").where("to >= start").select("start", F.col("to").alias("node"), F.col("node").alias("parent"))
+        found = near.groupBy("start", "node").agg(F.min("parent").alias("parent")).join(known, ["start", "node"], "left_anti")
+    else:
+        raise RuntimeError(f"no cycle of {max_rounds} nodes or fewer")
+    cycle, node = [], start
+    for i in range(k, -1, -1):
+        node = spark.read.parquet(f"{path}/{i}").where((F.col("start") == F.lit(start)) & (F.col("node") == F.lit(node))).first()["parent"]
+        cycle.append(node)
+    return spark.createDataFrame(list(enumerate(reversed(cycle))), f"place int, node {kind}")

@@ -98,15 +98,19 @@ def issue(fields: Column) -> Column:
 def publication_year(leader: Column, fields: Column, current_year: int, fallback: str = "") -> Column:
     """The most recent year of publication.
 
-    The first that is there of: local $y, the year of a reproduction, the issue's year of a component, 190 $j, and the second and the
+    The first that is there of: local $y, a serial's end year (363 1 0 $i) or else the later of its start year (363 0 1 $i) and the
+    present year, the last such field counting, the year of a reproduction, the issue's year of a component, 190 $j, and the second and the
     first date of 008. An open end (9999) counts as the year given as the present one, so the result does not hang on a clock.
     """
     year = lambda c: F.regexp_extract(c, r"(\d{4})", 1)
     some = lambda c: F.when(c != "", c)
     fixed = model.first_value(fields, "008", "")
     dates = [F.when(F.substring(fixed, k, 4).rlike(r"^\d{4}$"), F.substring(fixed, k, 4)) for k in (12, 8)]
+    span = lambda a, b: F.filter(F.transform(F.filter(fields, lambda f: (f["tag"] == "363") & (f["ind1"] == a) & (f["ind2"] == b)), lambda f: model.first_value(F.array(f), "363", "i")), lambda v: v != "")
+    last = lambda a, b: F.try_element_at(span(a, b), F.lit(-1))
     found = F.coalesce(
         some(year(model.first_value(fields, "ZWI", "y"))),
+        F.when(checks.is_serial(leader), F.coalesce(last("1", "0"), F.greatest(last("0", "1"), F.when(last("0", "1").isNotNull(), F.lit(str(current_year)))))),
         some(year(model.first_value(fields, "534", "c"))),
         F.when(checks.is_component(leader), some(year(issue(fields)["year"]))),
         some(year(model.first_value(fields, "190", "j"))),

@@ -154,6 +154,26 @@ def test_language_profiles(spark):
     assert {r["id"]: r["lang"] for r in language.classify(asked, model_, "id", "text", "lang").collect()} == {1: "en", 2: "de"}
 
 
+def test_language_candidates(spark):
+    model_ = spark.createDataFrame([("en", "a", 1.0), ("de", "b", 1.0), ("fr", "_a", 0.5)], "lang string, ngram string, weight double")
+    asked = spark.createDataFrame([(1, "a"), (2, "b"), (3, "1 2")], "id int, text string")  # a, _a, a_, _a_
+    got = lambda cutoff: sorted((r["id"], r["lang"], round(r["score"], 6)) for r in language.candidates(asked, model_, "id", "text", "lang", cutoff).collect())
+    assert got(1.0) == [(1, "en", 0.5), (2, "de", 0.5)]
+    assert got(0.5) == [(1, "en", 0.5), (1, "fr", 0.25), (2, "de", 0.5)]
+    assert len(got(0.0)) == 6
+
+
+def test_shortest_cycle(spark):
+    def found(pairs):
+        return [r["node"] for r in graph.shortest_cycle(spark.createDataFrame(pairs, "a int, b int"), "a", "b").orderBy("place").collect()]
+
+    two = [(1, 2), (2, 3), (3, 4), (4, 1), (4, 5), (5, 6), (6, 9), (9, 8), (8, 6)]  # 5 lies between two cycles
+    assert found(two) == [6, 9, 8]
+    assert found([*two, (3, 1)]) == [1, 2, 3]
+    assert found([*two, (7, 7)]) == [7]
+    assert found([(1, 2), (2, 3), (1, 3)]) == []
+
+
 def test_stream_equals_batch(spark, tmp_path):
     rows = spark.sql("select id, timestamp'2024-01-01' + make_interval(0,0,0,0,0,id * 7) as ts, concat('k', id % 3) as k from range(60)")
     rows.write.parquet(str(tmp_path / "in"))

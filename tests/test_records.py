@@ -108,6 +108,18 @@ def test_accessors_and_checks(spark):
     assert (row["t"], tuple(row["i"]), row["a"], row["y"], row["m"], row["v"], row["r"]) == ("Title : rest 2", ("1999", "", "", "1-9"), ["Doe, Jane"], "1999", [], True, ["650"])
 
 
+def test_year_of_serials(spark):
+    year = lambda ind, value: ("363", *ind, [("i", value)])
+    old = ("008", "", "", [("", "850101c19501959")])
+    rows = [
+        ("open", "00000nas a", [old, year("01", "1970")]), ("future", "00000nas a", [old, year("01", "2030")]), ("ended", "00000nas a", [old, year("01", "1970"), year("10", "1990")]),
+        ("twice", "00000nas a", [year("10", "1990"), year("10", "1995"), ("363", "1", "0", [("a", "x")])]), ("book", "00000nam a", [old, year("10", "1990")]), ("none", "00000nas a", [old]),
+        ("local", "00000nas a", [("ZWI", " ", " ", [("y", "2001")]), year("10", "1990")]),
+    ]
+    got = spark.createDataFrame(rows, model.SCHEMA).select("control_number", accessors.publication_year(F.col("leader"), F.col("fields"), 2024).alias("y"))
+    assert dict(map(tuple, got.collect())) == {"open": "2024", "future": "2030", "ended": "1990", "twice": "1995", "book": "1959", "none": "1959", "local": "2001"}
+
+
 @pytest.mark.parametrize(
     ("said", "want"),
     [
