@@ -3,12 +3,12 @@
 A paragraph is a line with a word. Its features are its words and word pairs (runs of letters, digits, dots and
 hyphens, lower-cased) hashed to BUCKETS and counted, divided by the root of their number. A multinomial logistic regression over the licence families
 and `unknown` is fitted on variants of the templates (windows, words dropped, holders and years added) and on
-paragraphs of up to about BACKGROUND documents that no template resembles. Its probabilities are calibrated by a
+paragraphs that no template resembles, up to PER_DOCUMENT (chosen by a hash from the whole text) of up to about BACKGROUND documents. Its probabilities are calibrated by a
 temperature fitted on a part of the rows left out of training; below LEAST a paragraph is unknown. A prediction is confirmed if
 the paragraph's word pairs are contained in the family's templates, or a template's in it, by SIMILAR or more.
 
 The model (families x BUCKETS floats, under 3 MB) and the templates are broadcast; both are independent of the corpus. Every
-paragraph of every text is scored whole.
+paragraph of every text is scored whole, one-word paragraphs and those without a template's word included.
 
 Edge cases: null and blank texts have no paragraphs; repeated lines are paragraphs of their own; without background the unknown class
 is learnt from shuffled template words alone; empty tables give no rows; other columns are ignored.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from folioframe.llm import kernels
 
 BUCKETS = 1 << 16
-BACKGROUND = 400
+BACKGROUND, PER_DOCUMENT = 400, 30
 LEAST, SIMILAR = 0.5, 0.6
 UNKNOWN = "unknown"
 
@@ -105,10 +105,6 @@ def paragraphs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 class Scanner:
     def __init__(self, weights: np.ndarray, bias: np.ndarray, temperature: float):
         self.weights, self.bias, self.temperature = weights.astype(np.float32), bias, temperature
-        # Paragraphs without any word of a template are unknown unseen, which saves most of the work.
-        _, _, _, value, is_pair = paragraphs(pa.array([t for ts in TEMPLATES.values() for t in ts], pa.large_string()))
-        self.known = np.zeros(BUCKETS, bool)
-        self.known[(value[is_pair] >> np.uint64(48)).astype(np.int64)] = True
         self.templates = []
         for texts in TEMPLATES.values():
             for text in texts:
@@ -134,21 +130,15 @@ class Scanner:
     def scan(self, texts: pa.Array) -> list[tuple[int, int, str, float, float, bool]]:
         """(text, line, family, probability, similarity, confirmed) of each paragraph that isn't unknown."""
         doc, line, first, value, is_pair = paragraphs(texts)
-        hit = kernels.sums(self.known[(value >> np.uint64(48)).astype(np.int64)] & is_pair, first) > 0
-        at = np.flatnonzero(hit)
-        if not len(at):
+        if not len(doc):
             return []
-        n = np.diff(first)[at]
-        start = np.concatenate([[0], np.cumsum(n)])
-        index = np.repeat(first[at] - start[:-1], n) + np.arange(start[-1])
-        value, is_pair = value[index], is_pair[index]
-        p = self.probabilities(start, value)
+        p = self.probabilities(first, value)
         out = []
         for k in np.flatnonzero((p.argmax(axis=1) < len(FAMILIES) - 1) & (p.max(axis=1) >= LEAST)).tolist():
             family = int(p[k].argmax())
-            span = slice(start[k], start[k + 1])
+            span = slice(first[k], first[k + 1])
             alike = self.similarity(family, value[span][is_pair[span]])
-            out.append((int(doc[at[k]]), int(line[at[k]]), FAMILIES[family], float(p[k, family]), alike, alike >= SIMILAR))
+            out.append((int(doc[k]), int(line[k]), FAMILIES[family], float(p[k, family]), alike, alike >= SIMILAR))
         return out
 
 
@@ -222,9 +212,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", backg
     n = rows.count()
     share = min(1.0, background / max(1, n))
     chosen = rows.where(F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    # Only lines of some length reach the driver, 30 of a document at most: a bounded training sample.
-    lines = chosen.select("id", F.posexplode(F.slice(F.split("text", "\n"), 1, 30)).alias("at", "line")).where(F.length("line").between(10, 1500))
-    got = [r["line"] for r in lines.orderBy("id", "at").select("line").limit(30 * background).collect()]
+    # Only lines of up to 1,500 characters reach the driver, PER_DOCUMENT of a document at most, by a hash of their place and text: a bounded training sample.
+    keyed = F.transform(F.split("text", "\n"), lambda x, i: F.struct(F.xxhash64(F.lit(13), i, x).alias("h"), x.alias("line")))
+    some = F.slice(F.array_sort(F.filter(keyed, lambda x: F.length(x["line"]).between(1, 1500))), 1, PER_DOCUMENT)
+    lines = chosen.select("id", F.posexplode(some).alias("at", "x")).select("id", "at", "x.line")
+    got = [r["line"] for r in lines.orderBy("id", "at").select("line").limit(PER_DOCUMENT * background).collect()]
     probe = Scanner(np.zeros((len(FAMILIES), BUCKETS)), np.zeros(len(FAMILIES)), 1.0)
     texts, labels = _variants(np.random.default_rng(5))
     for line in got:

@@ -146,6 +146,17 @@ def test_licence_scan(spark):
     assert license_scan.scan(docs.limit(0), license_scan.train(docs.limit(0))).count() == 0
 
 
+def test_licenses_score_every_paragraph_and_learn_from_whole_texts(spark, monkeypatch):
+    sure = np.eye(len(license_scan.FAMILIES))[0] * 9
+    scanner = license_scan.Scanner(np.zeros((len(license_scan.FAMILIES), license_scan.BUCKETS)), sure, 1.0)
+    got = scanner.scan(pa.array(["Apache-2.0\n\nno such words", "", "one"], pa.large_string()))
+    assert [(r[0], r[1], r[5]) for r in got] == [(0, 0, False), (0, 2, False), (2, 0, False)]
+    monkeypatch.setattr(license_scan, "fit", lambda texts, labels: texts)
+    lines = [f"plain line number {k}" for k in range(300)]
+    learnt = set(license_scan.train(table(spark, ["\n".join(lines)]))) & set(lines)
+    assert len(learnt) == license_scan.PER_DOCUMENT and learnt - set(lines[:150])
+
+
 # 3: toxicity.
 
 
