@@ -8,8 +8,8 @@ character histogram counts from LEAST_CHARS characters, the word histogram from
 is widened by the distance that a sample of the document's size has by chance (a quarter of it for words, most
 of which fall into one bin).
 
-Common words are found by lossy counting: a word counts from a flush where it is at least LOSSY of the language's
-words there, so the words kept do not grow with the corpus, and no word is missed that is common throughout.
+Words are counted exactly over all documents, summed in each task before they are shuffled, so references do not depend on
+batches or partitions; only each language's COMMON most frequent reach the driver.
 
 Base counts are exact: word_chars, n_symbols, lines repeated, words in repeated three-word windows.
 
@@ -32,7 +32,6 @@ from folioframe.llm.kernels import U64
 
 CLASSES = 7
 COMMON = 40
-LOSSY = 1e-3
 #: Distances over these fail.
 CHAR_LIMIT, WORD_LIMIT = 0.20, 0.38
 LEAST_CHARS, LEAST_WORDS = 200, 50
@@ -160,20 +159,13 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             langs = np.array(batch.column(0).slice(at, len(texts)).to_pylist(), object)
             words = kernels.Words(texts, lower=True)
             hist, h = char_histogram(words), words.hashes()
-            out: list[tuple] = []
             for lang in sorted(set(langs)):
                 mine = langs == lang
-                total = hist[mine].sum(axis=0)
-                out += [(lang, 0, k, int(v)) for k, v in enumerate(total)]
                 key, n = np.unique(h[mine[words.doc]], return_counts=True)
-                out.append((lang, 2, 0, int(n.sum())))
-                often = n >= max(2, LOSSY * n.sum())
-                out += [(lang, 1, int(a), int(b)) for a, b in zip(key[often].view(np.int64), n[often], strict=True)]
-            columns = list(zip(*out, strict=True)) or [[], [], [], []]
-            yield pa.record_batch(
-                [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())],
-                ["lang", "kind", "key", "n"],
-            )
+                kinds = np.concatenate([np.zeros(CLASSES, np.int32), np.ones(len(key), np.int32), [2]]).astype(np.int32)
+                keys = np.concatenate([np.arange(CLASSES), key.view(np.int64), [0]])
+                counts = np.concatenate([hist[mine].sum(axis=0), n, [n.sum()]]).astype(np.int64)
+                yield pa.record_batch([pa.repeat(pa.scalar(lang, pa.string()), len(kinds)), pa.array(kinds), pa.array(keys), pa.array(counts)], ["lang", "kind", "key", "n"])
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> References:

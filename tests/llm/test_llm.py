@@ -389,6 +389,16 @@ def test_quality_verdicts(spark):
     assert by.get((0, True), 0) <= 0.2 * max(1, by.get((0, False), 0))
 
 
+def test_references_count_every_word(spark):
+    texts = [f"uno dos w{k} x{k % 50}" for k in range(100)]
+    docs = spark.createDataFrame([(k, t, "es") for k, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(100, "doc_id")
+    c = Counter(w for t in texts for w in t.split())
+    for rows in (docs, docs.coalesce(1)):
+        refs = quality.learn(rows)
+        assert len(refs.commons[0]) == quality.COMMON
+        assert sorted(refs.shares[0][:-1], reverse=True) == [x / 400 for _, x in c.most_common(quality.COMMON)]
+
+
 def test_js_distance():
     p, q = np.array([[1.0, 0, 0], [0.5, 0.5, 0]]), np.array([0.5, 0.5, 0])
     got = quality.js_distance(p, q)
