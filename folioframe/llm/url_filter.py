@@ -1,7 +1,7 @@
 """URL filters: host and path rules, and a character language-model ratio for what no rule decides.
 
-Everything is DataFrame and SQL expressions. The symbols of a URL's host and path (letters, one
-symbol for all digits, dot, slash, hyphen, one for all else) are modelled by two Markov models of order
+Everything is DataFrame and SQL expressions. The symbols of all of a URL behind its scheme, query and fragment
+included (letters, one symbol for all digits, dot, slash, hyphen, one for all else), are modelled by two Markov models of order
 two, one learnt from accepted URLs and one from rejected ones. Each model interpolates the orders: the
 estimate of an order is smoothed towards that of the next lower one by KAPPA pseudo-counts, so the
 order in effect varies with how often a context was seen. A URL's score is the difference of the
@@ -12,7 +12,7 @@ threshold are scalar subqueries. The threshold is calibrated on a fifth of the d
 training leaves out: the bin edge with the least sum of error rates. Counting grams is a hash
 aggregation with map-side combine over at most 65,536 keys.
 
-Edge cases: a null url, or one without ://, has empty host and path, no rule, and score 0; without
+Edge cases: a null url has empty host and path, no rule, and score 0; one without :// has empty host and path, but is scored as it stands; without
 accepted or without rejected URLs every score is 0 and the threshold 0, so the method allows; repeated
 rows are judged each; empty tables give no rows; other columns are ignored.
 """
@@ -55,6 +55,11 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Col
     return out if out is not None else F.lit(None).cast("struct<rule: string, verdict: string>")
 
 
+def text_of(url: Column) -> Column:
+    """What the models see: all behind the scheme, or the url itself where there is no ://."""
+    return F.when(F.instr(url, "://") > 0, F.substr(url, F.instr(url, "://") + 3)).otherwise(url)
+
+
 def symbols(host: Column, path: Column) -> Column:
     text = F.translate(F.concat(host, path), _UPPER, _LOWER)
     return F.regexp_replace(F.regexp_replace(text, r"[^a-z0-9./-]", "_"), r"[0-9]", "0")
@@ -135,8 +140,10 @@ def threshold_of(scored: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """(id, host, path, rule, verdict, score) of each row. rules: (verdict, 'host/path') pairs, verdict allow or block."""
     url = F.col(url_col).cast("string")
-    parts = pages.select(F.col(id_col).alias("id"), F.coalesce(host_of(url), F.lit("")).alias("host"), F.coalesce(path_of(url), F.lit("")).alias("path"))
-    rows = parts.select("*", rule_of(F.col("host"), F.col("path"), rules).alias("fit"), symbols(F.col("host"), F.col("path")).alias("text"))
+    parts = pages.select(
+        F.col(id_col).alias("id"), F.coalesce(host_of(url), F.lit("")).alias("host"), F.coalesce(path_of(url), F.lit("")).alias("path"), F.coalesce(text_of(url), F.lit("")).alias("whole")
+    )
+    rows = parts.select("id", "host", "path", rule_of(F.col("host"), F.col("path"), rules).alias("fit"), symbols(F.col("whole"), F.lit("")).alias("text"))
     decided = rows.where("fit is not null").select("text", (F.col("fit.verdict") == "allow").alias("accepted"))
     aside = F.crc32(F.col("text").cast("binary")) % 5 == 0
     # A subquery may not stand inside a higher-order function, so the model is a column first.

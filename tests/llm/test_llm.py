@@ -331,6 +331,15 @@ def test_url_rules_and_ratio(spark):
     assert url_filter.judge(asked, queries.URL_RULES).count() == 0
 
 
+def test_url_models_see_query_and_bare_urls(spark):
+    urls = [f"http://site{k}.org/fr/p?plain={k}" for k in range(30)] + [f"http://bad{k}.net/spam?zzqq=zzqq{k}#zzqq" for k in range(30)]
+    urls += ["http://new.xyz/a", "http://new.xyz/a?plain=1", "http://new.xyz/a?zzqq=zzqq#zzqq", "plain", "zzqq"]
+    rules = [("allow", f"site{k}.org/") for k in range(30)] + [("block", f"bad{k}.net/") for k in range(30)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    bare, plain, odd, plain_raw, odd_raw = (r["score"] for r in url_filter.judge(pages, rules).where("page_id >= 60").orderBy("page_id").collect())
+    assert plain > bare > odd and plain_raw > 0 > odd_raw
+
+
 def test_url_scores_against_brute_force(spark):
     good, bad = ["abc/fr1", "abd/fr22", "abab"], ["zzz-9", "zyx_/q"]
     rows = [(t, True) for t in good] + [(t, False) for t in bad]
