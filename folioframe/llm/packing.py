@@ -5,7 +5,7 @@ the tail. Full pieces fill a sequence each. The tails of a shard (SHARD document
 packed together, so there is no shuffle and a shard's memory is bounded:
 
 1. the tails' lengths make a histogram;
-2. columns are the shallow combinations of one, two or three of the lengths present that fill the window up to a
+2. columns are all combinations of one, two or three of the lengths present that fill the window up to a
    small slack;
 3. non-negative least squares finds how often to use each so that the histogram is met;
 4. the counts are rounded down to what the histogram still holds;
@@ -68,8 +68,8 @@ def tokenizer(name: str = "byte_bpe_50k.json", ranks: str = "byte_bpe_50k.tiktok
     return _TOKENIZERS[name, ranks]
 
 
-def combinations(lengths: np.ndarray, window: int, slack: int = SLACK, most: int = 30_000) -> np.ndarray:
-    """Rows (a, b, c) of lengths present with 0 for none, a >= b >= c, filling the window up to slack."""
+def combinations(lengths: np.ndarray, window: int, slack: int = SLACK) -> np.ndarray:
+    """All rows (a, b, c) of lengths present with 0 for none, a >= b >= c, filling the window up to slack: at most about window**2 / 12 threes a gap."""
     have = np.zeros(window + 1, bool)
     have[lengths] = True
     lengths = np.sort(lengths)[::-1]
@@ -85,7 +85,6 @@ def combinations(lengths: np.ndarray, window: int, slack: int = SLACK, most: int
         ok = (rest > 0) & (rest <= b)
         ok[ok] = have[rest[ok]]
         at = np.flatnonzero(ok)
-        at = at[:: max(1, len(at) // (most // (slack + 1)))]  # an even spread of threes is enough beside all twos
         rows.append(np.stack([a[at], b[at], rest[at]], 1))
     return np.concatenate(rows)
 
@@ -136,7 +135,7 @@ def plan(lengths: np.ndarray, window: int = WINDOW) -> tuple[list[list[int]], li
         # Whole counts first, then the combinations with the largest fractions while lengths last.
         rounds = [(np.flatnonzero(x >= 1), np.floor(x)), (np.argsort(-(x - np.floor(x)), kind="stable"), np.ceil(x - np.floor(x)))]
         for at, times in rounds:
-            for k in at.tolist():
+            for k in at[times[at] > 0].tolist():
                 parts = [v for v in combos[k].tolist() if v]
                 for _ in range(int(times[k])):
                     need = {v: parts.count(v) for v in parts}

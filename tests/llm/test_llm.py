@@ -258,6 +258,13 @@ def test_packing_round_trip(spark):
     assert packing.pack(table(spark, texts).limit(0)).count() == 0
 
 
+def test_packing_has_all_combinations():
+    got = packing.combinations(np.arange(1, 1024), 1024)
+    assert len(np.unique(got, axis=0)) == len(got)
+    assert (got[:, 2] > 0).sum() == sum(round(n * n / 12) for n in (1022, 1023, 1024))  # partitions into three parts
+    assert (got[:, 1] > 0).sum() - (got[:, 2] > 0).sum() == sum(n // 2 for n in (1022, 1023, 1024))
+
+
 def test_least_squares_meets_a_solvable_histogram():
     lengths = np.array([1000] * 50 + [24] * 50 + [512] * 40 + [300] * 30 + [400] * 30 + [324] * 30)
     groups, rest = packing.plan(lengths)
