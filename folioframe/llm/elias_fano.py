@@ -25,9 +25,11 @@ def _bits(values: np.ndarray, width: int) -> np.ndarray:
     if width and n:
         at = np.arange(n, dtype=np.int64) * width
         word, shift = at >> 6, (at & 63).astype(U64)
-        np.bitwise_or.at(out, word, values << shift)
+        # Words rise with values, so those of one word are neighbours.
+        start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        out[word[start]] = np.bitwise_or.reduceat(values << shift, start)
         over = np.flatnonzero((at & 63) + width > 64)
-        np.bitwise_or.at(out, word[over] + 1, values[over] >> (U64(64) - shift[over]))
+        out[word[over] + 1] |= values[over] >> (U64(64) - shift[over])
     return out
 
 
@@ -44,9 +46,9 @@ class EliasFano:
         width = max(0, int(np.floor(np.log2(max(1, universe // max(1, n))))))
         high = (values >> U64(width)).astype(np.int64)
         size = n + (universe >> width) + 2
-        upper = np.zeros(size // 64 + 1, U64)
-        at = high + np.arange(n)
-        np.bitwise_or.at(upper, at >> 6, _ONE << (at & 63).astype(U64))
+        bits = np.zeros((size // 64 + 1) * 64, bool)
+        bits[high + np.arange(n)] = True
+        upper = np.packbits(bits, bitorder="little").view(U64)
         ones = np.concatenate([[0], np.cumsum(np.bitwise_count(upper).astype(np.int64))[:-1]])
         return cls(n, width, _bits(values & ((_ONE << U64(width)) - _ONE), width), upper, ones)
 

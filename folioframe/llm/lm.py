@@ -1,26 +1,28 @@
 """LM scoring: a trigram model in an Elias-Fano trie of memory-mapped levels.
 
-The model is learnt from all training documents. Words are A-Z lower-cased, END closes each text.
+The model is learnt from all training documents; no n-gram is left out. Words are A-Z lower-cased, END closes each text.
 
 * Unigrams: p(w) = (c + 0.1) / (N + 0.1 (V + 1)), c exact for every word.
-* Bigrams of all known words (MIN_COUNT 1: no word is too rare) are counted; those whose own summed count is MIN_BIGRAM or more
-  are kept. With c(h) the count of the context and T(h) its kept successors, p(w|h) = c(hw) / (c(h) + T(h)) + lambda(h) p(w), where
-  lambda(h) is the mass that kept successors leave. Trigrams whose own summed count is MIN_TRIGRAM or more (so both of their bigrams are kept): likewise over bigrams. So
-  each context's probabilities sum to one; a context that is not kept has lambda 1.
+* Bigrams and trigrams: p(w|h) = (c(hw) - D(c(hw))) / C(h) + lambda(h) p(w|h'), where h' is h without its first word, C(h) the count
+  of h before any word, and D the discount of an n-gram seen once, twice or more often (DISCOUNTS). lambda(h) is the mass that the
+  discounts free, so each context's probabilities sum to one; a context never seen has lambda 1.
 
-Trie, in shards by the hash of the first word:
+Trie. A word's id is its place in the order of hashes; an n-gram's place is its rank among all of its length:
 
-* level 1: sorted word hashes as an Elias-Fano sequence (a word's id is its place) and cumulative counts as another;
-* level 2: parent * V + child over all kept bigrams, and the places where each parent's children start;
-* level 3: parent bigram * R + the child's place among the successors of the parent's last word (context-relative, R their most);
-* log10 probabilities and lambdas, quantised to 16 bits (steps of 1/4096).
+* level 1: word hashes as an Elias-Fano sequence and cumulative counts as another;
+* level 2: parent id * V + child id, with log10 probabilities and each parent's log10 lambda;
+* level 3: parent bigram's place * R + the child's place among the successors of the parent's last word (context-relative, R
+  their most), likewise. Logarithms are quantised to 16 bits (steps of 1/4096).
 
-Each shard is made by one task from pre-aggregated counts and written as a file in the shared folder; workers map the files, so
-the model costs them page cache and not memory, and the driver sees only sizes. Where the shared folder isn't a local
-path, a worker copies a file to an unlinked temporary one and maps that.
+Levels are cut into shards of about SHARD_TOKENS training tokens whatever the size of the corpus: level 1 by hash, the others by ranges of
+keys whose bounds follow the counts of the level below. A parent with more tokens than a shard holds has its successors cut into several
+shards; what a context needs of its other shards (its count and how many successors it has) is added up for those contexts alone.
+Counts are summed in each task by flushes of FLUSH tokens before they are shuffled, as differences of sorted keys. Each shard is made by one task and written as files in
+the shared folder; workers map the files, so the model costs them page cache and not memory, and the driver sees only sizes and
+bounds. Where the shared folder isn't a local path, a worker copies a file to an unlinked temporary one and maps that.
 
 Edge cases: null or blank text is END alone; without training rows N and V are 0 and every token has probability one, the
-only one there is; repeated rows teach and are scored each; empty tables give no rows; other columns are ignored.
+only one there is; repeated rows teach and are scored each; empty tables give no rows; other columns are ignored; long texts are read whole.
 """
 
 from __future__ import annotations
@@ -41,14 +43,15 @@ from pyspark.sql import functions as F
 from folioframe.llm import kernels
 from folioframe.llm.elias_fano import EliasFano
 from folioframe.llm.kernels import U64
-from folioframe.llm.shared import work_dir
+from folioframe.llm.shared import remove, work_dir
 
 END_HASH = U64(0x9D39247E33776D41)
-MIN_COUNT, MIN_BIGRAM, MIN_TRIGRAM = 1, 2, 3
 ALPHA = 0.1
+#: What is taken off the count of a bigram and of a trigram seen once, twice, and more often.
+DISCOUNTS = {2: (0.8, 1.0, 1.2), 3: (0.95, 1.0, 1.2)}
 STEP = 4096.0
-FLUSH = 2_000_000
-
+#: Tokens that a task counts before it emits, training tokens of a shard, and tokens scored at a time.
+FLUSH, SHARD_TOKENS, SCORED = 2_000_000, 4_000_000, 500_000
 
 # Files of arrays in the shared folder.
 
@@ -97,7 +100,7 @@ def map_arrays(path: str) -> list[list[np.ndarray]]:
                 own.write(piece)
             own.flush()
             view = mmap.mmap(own.fileno(), 0, access=mmap.ACCESS_READ)
-    kinds = {np.dtype(t).num: np.dtype(t) for t in (np.int64, np.uint64, np.uint16)}
+    kinds = {np.dtype(t).num: np.dtype(t) for t in (np.int64, np.uint64, np.uint32, np.uint16)}
     n = int(np.frombuffer(view, np.int64, 1)[0])
     head = np.frombuffer(view, np.int64, n, 8).tolist()
     counts, rest = head[1 : 1 + head[0]], head[1 + head[0] :]
@@ -124,92 +127,138 @@ def _quantise(log10: np.ndarray) -> np.ndarray:
     return np.clip(np.round(-log10 * STEP), 0, 65535).astype(np.uint16)
 
 
+def _each(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard that occurs and the places where it does."""
+    if not len(shard):
+        return
+    order = np.arange(len(shard)) if (shard[1:] >= shard[:-1]).all() else np.argsort(shard, kind="stable")
+    ordered = shard[order]
+    edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]]))
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+        yield int(ordered[a]), order[a:b]
+
+
+class Level:
+    """Keys of n-grams of one length in shards: bounds[s] <= keys of shard s < bounds[s + 1], width: what a parent's number is multiplied by."""
+
+    def __init__(self, number: int, width: int, bounds: np.ndarray, top: int):
+        self.number, self.width, self.top = number, width, top
+        self.bounds = np.unique(np.concatenate([np.zeros(1, U64), bounds.astype(U64)]))
+        self.sizes = np.zeros(len(self.bounds), np.int64)
+        self.widest = 1
+
+    @property
+    def shards(self) -> int:
+        return len(self.bounds)
+
+    @property
+    def first(self) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)
+
+    def shard_of(self, keys: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.bounds, keys, side="right") - 1
+
+    def end(self, s: int) -> int:
+        return int(self.bounds[s + 1]) if s + 1 < self.shards else self.top
+
+    def low_parent(self, s: int) -> int:
+        return int(self.bounds[s]) // self.width
+
+    def parents(self, s: int) -> int:
+        """How many parents' keys may lie in shard s."""
+        return (max(self.end(s), 1) - 1) // self.width - self.low_parent(s) + 1
+
+
 class Trie:
     """All shards of a model; levels that are not made yet are absent. words, tokens: V and N."""
 
-    def __init__(self, path: str, shards: int, sizes: list[int], tokens: int, widest: int = 0, bigrams: list[int] | None = None, levels: int = 1):
-        self.path, self.shards, self.sizes, self.tokens, self.widest, self.levels = path, shards, sizes, tokens, widest, levels
-        self.bigrams = bigrams
-        self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        self.first2 = np.concatenate([[0], np.cumsum(bigrams or [0] * shards)]).astype(np.int64)
-        self.words = int(self.first[-1])
-        self.maps: dict[tuple[int, int], list] = {}
+    def __init__(self, path: str, shards: int, shard_tokens: int, flush: int):
+        self.path, self.shards, self.shard_tokens, self.flush = path, shards, shard_tokens, flush
+        self.sizes, self.tokens = np.zeros(shards, np.int64), 0
+        self.levels: dict[int, Level] = {}
+        self.maps: dict[tuple[str, int], list] = {}
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"maps": {}}
 
-    def level(self, k: int, shard: int) -> list:
-        if (k, shard) not in self.maps:
-            groups = map_arrays(f"{self.path}/level{k}-{shard}")
-            self.maps[k, shard] = [EliasFano.from_arrays(g) if len(g) == 4 else g[0] for g in groups]
-        return self.maps[k, shard]
+    @property
+    def words(self) -> int:
+        return int(self.sizes.sum())
 
-    def _each(self, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort(shard, kind="stable")
-        edge = np.searchsorted(shard[order], np.arange(self.shards + 1))
-        for s in np.flatnonzero(np.diff(edge)).tolist():
-            yield s, order[edge[s] : edge[s + 1]]
+    @property
+    def first(self) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)
+
+    def part(self, name: str, shard: int) -> list:
+        """Sequences and arrays of one file."""
+        if (name, shard) not in self.maps:
+            self.maps[name, shard] = [EliasFano.from_arrays(g) if len(g) == 4 else g[0] for g in map_arrays(f"{self.path}/{name}/{shard}")]
+        return self.maps[name, shard]
+
+    def put(self, name: str, shard: int, groups: list[list[np.ndarray]]) -> None:
+        write_arrays(f"{self.path}/{name}/{shard}", groups)
 
     def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids (-1: unknown) and counts of word hashes."""
-        ids, counts = np.full(len(h), -1), np.zeros(len(h), np.int64)
-        for s, at in self._each(shard_of(h, self.shards)):
+        ids, counts, first = np.full(len(h), -1), np.zeros(len(h), np.int64), self.first
+        for s, at in _each(shard_of(h, self.shards)):
             if self.sizes[s]:
-                hashes, cumulative = self.level(1, s)
+                hashes, cumulative = self.part("words", s)
                 low = -(-(s << 32) // self.shards) << 32
                 place, equal = hashes.successor(h[at] - U64(low))
                 at, place = at[equal], place[equal]
-                ids[at] = self.first[s] + place
+                ids[at] = first[s] + place
                 counts[at] = (cumulative.access(place + 1) - cumulative.access(place)).astype(np.int64)
         return ids, counts
 
     def counts(self, ids: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(ids), np.int64)
-        for s, at in self._each(self.shard_of_id(ids)):
-            place = ids[at] - self.first[s]
-            cumulative = self.level(1, s)[1]
+        out, first = np.zeros(len(ids), np.int64), self.first
+        for s, at in _each(np.searchsorted(first, ids, side="right") - 1):
+            place = ids[at] - first[s]
+            cumulative = self.part("words", s)[1]
             out[at] = (cumulative.access(place + 1) - cumulative.access(place)).astype(np.int64)
         return out
 
-    def shard_of_id(self, ids: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.first, ids, side="right") - 1
-
     def log_unigram(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + ALPHA) / (self.tokens + ALPHA * (self.words + 1)))
 
-    def bigram(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places of bigrams of ids (-1: not kept), log10 p(b|a) where kept, and b's place among a's successors."""
-        place, log_p, rank = np.full(len(a), -1), np.zeros(len(a)), np.zeros(len(a), np.int64)
-        for s, at in self._each(self.shard_of_id(a)):
-            pairs, starts, probs, _, _ = self.level(2, s)
-            if pairs.n:
-                parent = a[at] - self.first[s]
-                found, equal = pairs.successor(parent.astype(U64) * U64(self.words) + b[at].astype(U64))
-                at, found, parent = at[equal], found[equal], parent[equal]
-                place[at], log_p[at] = self.first2[s] + found, probs[found] / -STEP
-                rank[at] = found - starts.access(parent).astype(np.int64)
-        return place, log_p, rank
-
-    def log_lambda(self, a: np.ndarray) -> np.ndarray:
-        """log10 of the mass that the kept successors of each word leave."""
-        out = np.zeros(len(a))
-        for s, at in self._each(self.shard_of_id(a)):
-            out[at] = self.level(2, s)[3][a[at] - self.first[s]] / -STEP
+    def find(self, k: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of the first n-gram of level k whose key is not less, and whether it is equal."""
+        level = self.levels[k]
+        place, found, first = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool), level.first
+        for s, at in _each(level.shard_of(keys)):
+            place[at] = first[s]
+            if level.sizes[s]:
+                got, equal = self.part(f"keys{k}", s)[0].successor(keys[at] - level.bounds[s])
+                place[at] += got
+                found[at] = equal
+        return place, found
+
+    def log_p(self, k: int, place: np.ndarray) -> np.ndarray:
+        """log10 p of the n-grams of level k at these places."""
+        out, first = np.zeros(len(place)), self.levels[k].first
+        for s, at in _each(np.searchsorted(first, place, side="right") - 1):
+            out[at] = self.part(f"probs{k}", s)[0][place[at] - first[s]] / -STEP
         return out
 
-    def trigram(self, place: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For places of bigrams (u, v) and ranks of w after v: whether kept, log10 p(w|uv) where kept, log10 lambda(uv)."""
-        kept, log_p, left = np.zeros(len(place), bool), np.zeros(len(place)), np.zeros(len(place))
-        for s, at in self._each(np.searchsorted(self.first2, place, side="right") - 1):
-            triples, probs, lambdas = self.level(3, s)
-            local = place[at] - self.first2[s]
-            left[at] = lambdas[local] / -STEP
-            if triples.n:
-                has = rank[at] >= 0
-                at, local = at[has], local[has]
-                found, equal = triples.successor(local.astype(U64) * U64(self.widest) + rank[at].astype(U64))
-                kept[at[equal]], log_p[at[equal]] = True, probs[found[equal]] / -STEP
-        return kept, log_p, left
+    def log_lambda(self, k: int, parents: np.ndarray) -> np.ndarray:
+        """log10 of the mass that the successors of these parents, by n-grams of level k, leave."""
+        level, out = self.levels[k], np.zeros(len(parents))
+        for s, at in _each(level.shard_of(parents.astype(U64) * U64(level.width))):
+            out[at] = self.part(f"probs{k}", s)[1][parents[at] - level.low_parent(s)] / -STEP
+        return out
+
+    def starts(self, words: np.ndarray) -> np.ndarray:
+        """The place of the first bigram of each word."""
+        return self.find(2, words.astype(U64) * U64(self.words))[0]
+
+    def key_at(self, place: np.ndarray) -> np.ndarray:
+        """The keys of the bigrams at these places."""
+        level, out = self.levels[2], np.zeros(len(place), U64)
+        first = level.first
+        for s, at in _each(np.searchsorted(first, place, side="right") - 1):
+            out[at] = self.part("keys2", s)[0].access(place[at] - first[s]) + level.bounds[s]
+        return out
 
 
 def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -222,62 +271,103 @@ def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
-def _flushed(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
-    held, n = [], 0
-    for batch in batches:
-        for _, texts in kernels.chunks(batch.column(column)):
-            held.append(token_hashes(texts))
-            n += len(held[-1][0])
-            if n >= FLUSH:
-                yield held
-                held, n = [], 0
-    if held:
-        yield held
+def _flushed(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[tuple[list[tuple[pa.RecordBatch, int, int]], np.ndarray, np.ndarray]]:
+    """About `limit` tokens at a time: the rows they are of (batch, first row, rows), hashes, offsets. Whole texts always."""
+    held, hashes, counts, n = [], [], [], 0
 
+    def take():
+        return held, np.concatenate(hashes), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
 
-def _blobs(key: np.ndarray, shard_of_key, shards: int) -> pa.RecordBatch:
-    """Counts of sorted distinct keys, as a blob for each shard."""
+    for batch in batches:
+        for at, texts in kernels.chunks(batch.column(column)):
+            h, first = token_hashes(texts)
+            held.append((batch, at, len(texts)))
+            hashes.append(h)
+            counts.append(np.diff(first))
+            n += len(h)
+            if n >= limit:
+                yield take()
+                held, hashes, counts, n = [], [], [], 0
+    if held:
+        yield take()
+
+
+def packed(key: np.ndarray, count: np.ndarray) -> bytes:
+    """Sorted distinct keys and their counts: differences in as many bytes as the largest needs, counts in one with exceptions behind."""
+    gap = np.diff(key, prepend=key[:1])
+    width = max(1, (int(gap.max()).bit_length() + 7) // 8)
+    much = np.flatnonzero(count >= 255)
+    head = np.array([len(key), width, int(key[0]), len(much)], U64)
+    small = np.minimum(count, 255).astype(np.uint8)
+    return head.tobytes() + gap.view(np.uint8).reshape(-1, 8)[:, :width].tobytes() + small.tobytes() + much.astype(np.int64).tobytes() + count[much].astype(np.int64).tobytes()
+
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, width, low, much = (int(x) for x in np.frombuffer(blob, U64, 4))
+    gap = np.zeros((n, 8), np.uint8)
+    gap[:, :width] = np.frombuffer(blob, np.uint8, n * width, 32).reshape(n, width)
+    key = np.cumsum(gap.reshape(-1).view(U64), dtype=U64) + U64(low)
+    at = 32 + n * width
+    count = np.frombuffer(blob, np.uint8, n, at).astype(np.int64)
+    if much:
+        where = np.frombuffer(blob[at + n :], np.int64, 2 * much)
+        count[where[:much]] = where[much:]
+    return key, count
+
+
+def _blobs(key: np.ndarray, shard_of_key) -> pa.RecordBatch:
+    """Counts of the keys, as a blob for each shard; shards must rise with keys."""
     key = np.sort(key)
     edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, np.int64)
-    key, count = key[edge[:-1]], np.diff(edge).astype(np.uint32)
-    cut = np.searchsorted(shard_of_key(key), np.arange(shards + 1))
-    full = np.flatnonzero(np.diff(cut))
-    blobs = [key[cut[s] : cut[s + 1]].tobytes() + count[cut[s] : cut[s + 1]].tobytes() for s in full]
-    return pa.record_batch([pa.array(full.astype(np.int32)), pa.array(blobs, pa.binary())], ["shard", "blob"])
+    key, count = key[edge[:-1]], np.diff(edge)
+    spans = list(_each(shard_of_key(key)))
+    blobs = [packed(key[at[0] : at[-1] + 1], count[at[0] : at[-1] + 1]) for _, at in spans]
+    return pa.record_batch([pa.array([s for s, _ in spans], pa.int32()), pa.array(blobs, pa.binary())], ["shard", "blob"])
 
 
 def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = [], []
-    for blob in table["blob"].to_pylist():
-        n = len(blob) // 12
-        keys.append(np.frombuffer(blob, U64, n))
-        counts.append(np.frombuffer(blob, np.uint32, n, 8 * n))
-    key, count = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
-    if not len(key):
-        return key, count
+    got = [unpacked(b) for b in table["blob"].to_pylist()]
+    key, count = np.concatenate([k for k, _ in got]), np.concatenate([c for _, c in got])
     order = np.argsort(key, kind="stable")
     key, count = key[order], count[order]
     start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     return key[start], np.add.reduceat(count, start)
 
 
-def _count_words(shards: int):
+def _tiles(count: np.ndarray, limit: int) -> tuple[list[int], list[int], list[int]]:
+    """Places at which a shard of the next level begins, and those of parents with more than a shard's tokens, with the pieces they need."""
+    tile = (np.cumsum(count) - count) // limit
+    cuts = np.flatnonzero(tile[1:] != tile[:-1]) + 1
+    heavy = np.flatnonzero(count > limit)
+    return cuts.tolist(), heavy.tolist(), (-(-count[heavy] // limit)).tolist()
+
+
+_MADE = "shard int, n bigint, total bigint, widest bigint, cuts array<bigint>, heavy array<bigint>, pieces array<bigint>, edges array<array<bigint>>"
+
+
+def _made(shard: int, n: int, total: int, widest: int, tiles: tuple, edges: list[list[int]]) -> pa.Table:
+    numbers = pa.list_(pa.int64())
+    columns = [pa.array([shard], pa.int32()), *(pa.array([x], pa.int64()) for x in (n, total, widest)), *(pa.array([x], numbers) for x in tiles), pa.array([edges], pa.list_(numbers))]
+    return pa.table(columns, ["shard", "n", "total", "widest", "cuts", "heavy", "pieces", "edges"])
+
+
+def _count_words(trie: Trie):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in _flushed(batches, 0):
-            yield _blobs(np.concatenate([h for h, _ in held]), lambda k: shard_of(k, shards), shards)
+        for _, h, _ in _flushed(batches, 0, trie.flush):
+            yield _blobs(h, lambda k: shard_of(k, trie.shards))
 
     return run
 
 
-def _make_level1(path: str, shards: int):
+def _make_words(trie: Trie):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         s = key[0].as_py()
         h, count = _summed(table)
-        low = -(-(s << 32) // shards) << 32
-        high = min(-(-((s + 1) << 32) // shards) << 32, 1 << 64)
+        low = -(-(s << 32) // trie.shards) << 32
+        high = min(-(-((s + 1) << 32) // trie.shards) << 32, 1 << 64)
         total = np.concatenate([[0], np.cumsum(count)])
-        write_arrays(f"{path}/level1-{s}", [EliasFano.of(h - U64(low), high - low).arrays(), EliasFano.of(total, int(total[-1]) + 1).arrays()])
-        return pa.table({"shard": pa.array([s], pa.int32()), "n": [len(h)], "total": [int(total[-1])]})
+        trie.put("words", s, [EliasFano.of(h - U64(low), high - low).arrays(), EliasFano.of(total, int(total[-1]) + 1).arrays()])
+        return _made(s, len(h), int(total[-1]), 0, _tiles(count, trie.shard_tokens), [])
 
     return run
 
@@ -288,7 +378,7 @@ def _ids_of(trie: Trie, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[inverse], counts[inverse]
 
 
-def _pairs(first: np.ndarray, n: int, width: int) -> np.ndarray:
+def _with_before(first: np.ndarray, n: int, width: int) -> np.ndarray:
     """Places of tokens that have width - 1 tokens of their text before them."""
     ok = np.ones(n, bool)
     for k in range(width - 1):
@@ -297,49 +387,28 @@ def _pairs(first: np.ndarray, n: int, width: int) -> np.ndarray:
     return np.flatnonzero(ok)
 
 
+def _bigram_places(trie: Trie, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each token, of the bigram that ends there: its place (-1: none), the token's rank among the successors, log10 p if the level has any."""
+    n = len(ids)
+    place, rank = np.full(n, -1), np.full(n, -1)
+    at = _with_before(first, n, 2)
+    at = at[(ids[at] >= 0) & (ids[at - 1] >= 0)]
+    key, inverse = np.unique(ids[at - 1].astype(U64) * U64(trie.words) + ids[at].astype(U64), return_inverse=True)
+    got, equal = trie.find(2, key)
+    parent, of = np.unique(key // U64(trie.words), return_inverse=True)
+    order = np.where(equal, got - trie.starts(parent)[of], -1)
+    got = np.where(equal, got, -1)
+    place[at], rank[at] = got[inverse], order[inverse]
+    return place, rank, key
+
+
 def _count_bigrams(trie_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = trie_of.value
-        for held in _flushed(batches, 0):
-            keys = []
-            for h, first in held:
-                ids, counts = _ids_of(trie, h)
-                at = _pairs(first, len(h), 2)
-                at = at[(counts[at] >= MIN_COUNT) & (counts[at - 1] >= MIN_COUNT)]
-                keys.append(ids[at - 1].astype(U64) << U64(32) | ids[at].astype(U64))
-            yield _blobs(np.concatenate(keys), lambda k: trie.shard_of_id((k >> U64(32)).astype(np.int64)), trie.shards)
-
-    return run
-
-
-def _make_level2(trie_of):
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        trie, s = trie_of.value, key[0].as_py()
-        pair, count = _summed(table)
-        kept = count >= MIN_BIGRAM
-        pair, count = pair[kept], count[kept]
-        parent = (pair >> U64(32)).astype(np.int64) - trie.first[s]
-        child = (pair & U64(0xFFFFFFFF)).astype(np.int64)
-        n = trie.sizes[s]
-        degree = np.bincount(parent, minlength=n)
-        has = np.flatnonzero(degree)
-        context = np.ones(n)
-        context[has] = trie.counts(has + trie.first[s]) + degree[has]
-        left = 1 - np.bincount(parent, count, minlength=n) / context
-        # END is never a context, and a context's count covers its successors, so the mass left is positive.
-        p = count / context[parent] + left[parent] * 10 ** trie.log_unigram(trie.counts(child))
-        starts = np.concatenate([[0], np.cumsum(degree)])
-        write_arrays(
-            f"{trie.path}/level2-{s}",
-            [
-                EliasFano.of(parent.astype(U64) * U64(trie.words) + child.astype(U64), max(1, n * trie.words)).arrays(),
-                EliasFano.of(starts, int(starts[-1]) + 1).arrays(),
-                [_quantise(np.log10(p))],
-                [_quantise(np.log10(np.maximum(left, 1e-12)))],
-                [count.astype(np.uint64)],
-            ],
-        )
-        return pa.table({"shard": pa.array([s], pa.int32()), "n": [len(pair)], "total": [int(degree.max(initial=0))]})
+        for _, h, first in _flushed(batches, 0, trie.flush):
+            ids, _ = _ids_of(trie, h)
+            at = _with_before(first, len(h), 2)
+            yield _blobs(ids[at - 1].astype(U64) * U64(trie.words) + ids[at].astype(U64), trie.levels[2].shard_of)
 
     return run
 
@@ -347,149 +416,204 @@ def _make_level2(trie_of):
 def _count_trigrams(trie_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = trie_of.value
-        for held in _flushed(batches, 0):
-            keys = []
-            for h, first in held:
-                ids, counts = _ids_of(trie, h)
-                place, rank = _bigram_places(trie, ids, counts, first)[:2]
-                at = _pairs(first, len(h), 3)
-                at = at[(place[at] >= 0) & (place[at - 1] >= 0)]
-                keys.append(place[at - 1].astype(U64) * U64(trie.widest) + rank[at].astype(U64))
-            yield _blobs(
-                np.concatenate(keys),
-                lambda k: np.searchsorted(trie.first2, (k // U64(trie.widest)).astype(np.int64), side="right") - 1,
-                trie.shards,
-            )
+        for _, h, first in _flushed(batches, 0, trie.flush):
+            ids, _ = _ids_of(trie, h)
+            place, rank, _ = _bigram_places(trie, ids, first)
+            at = _with_before(first, len(h), 3)
+            yield _blobs(place[at - 1].astype(U64) * U64(trie.levels[3].width) + rank[at].astype(U64), trie.levels[3].shard_of)
 
     return run
 
 
-def _bigram_places(trie: Trie, ids: np.ndarray, counts: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each token, of the bigram that ends there: place (-1), rank (-1) and log10 p."""
-    n = len(ids)
-    place, rank, log_p = np.full(n, -1), np.full(n, -1), np.zeros(n)
-    at = _pairs(first, n, 2)
-    at = at[(counts[at] >= MIN_COUNT) & (counts[at - 1] >= MIN_COUNT)]
-    key, inverse = np.unique(ids[at - 1] << 32 | ids[at], return_inverse=True)
-    got, p, r = trie.bigram(key >> 32, key & 0xFFFFFFFF)
-    place[at], log_p[at], rank[at] = got[inverse], p[inverse], np.where(got >= 0, r, -1)[inverse]
-    return place, rank, log_p
+def _context_sums(level: Level, s: int, key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each key its parent's number within shard s, and (count, successors seen once, twice, more often) of each parent there."""
+    parent = (key // U64(level.width)).astype(np.int64) - level.low_parent(s)
+    n = level.parents(s)
+    sums = [np.bincount(parent, count, minlength=n)] + [np.bincount(parent[np.minimum(count, 3) == c], minlength=n) for c in (1, 2, 3)]
+    return parent, np.stack(sums, 1).astype(np.int64)
 
 
-def _make_level3(trie_of):
+def _make_keys(trie_of, k: int):
+    """The sorted keys of a shard and, for the next step alone, their counts."""
+
     def run(key: tuple, table: pa.Table) -> pa.Table:
         trie, s = trie_of.value, key[0].as_py()
-        pairs, _, _, _, pair_counts = trie.level(2, s)
-        n = pairs.n
-        triple, count = _summed(table)
-        kept = count >= MIN_TRIGRAM
-        triple, count = triple[kept], count[kept]
-        parent = (triple // U64(trie.widest)).astype(np.int64) - trie.first2[s]
-        rank = (triple % U64(trie.widest)).astype(np.int64)
-        degree = np.bincount(parent, minlength=n)
-        context = pair_counts.astype(np.float64) + degree
-        left = 1 - np.bincount(parent, count, minlength=n) / context
-        # p(w|v) of the children, found by their place among the successors of v.
-        below = np.zeros(len(parent))
-        if len(parent):
-            last = (pairs.access(parent) % U64(trie.words)).astype(np.int64)
-            for t, at in trie._each(trie.shard_of_id(last)):
-                _, starts, probs, _, _ = trie.level(2, t)
-                below[at] = 10 ** (probs[starts.access(last[at] - trie.first[t]).astype(np.int64) + rank[at]] / -STEP)
-        p = count / context[parent] + left[parent] * below
-        write_arrays(
-            f"{trie.path}/level3-{s}",
-            [
-                EliasFano.of(parent.astype(U64) * U64(trie.widest) + rank.astype(U64), max(1, n * trie.widest)).arrays(),
-                [_quantise(np.log10(np.maximum(p, 1e-16)))],
-                [_quantise(np.log10(np.maximum(left, 1e-12)))],
-            ],
-        )
-        return pa.table({"shard": pa.array([s], pa.int32()), "n": [len(triple)], "total": [0]})
+        level = trie.levels[k]
+        keys, count = _summed(table)
+        trie.put(f"keys{k}", s, [EliasFano.of(keys - level.bounds[s], max(1, level.end(s) - int(level.bounds[s]))).arrays()])
+        trie.put(f"counts{k}", s, [[count.astype(np.uint64)]])
+        parent, sums = _context_sums(level, s, keys, count)
+        ends = sorted({int(parent[0]), int(parent[-1])})
+        degree = sums[:, 1:].sum(axis=1)
+        edges = [[p + level.low_parent(s), *sums[p].tolist()] for p in ends]
+        return _made(s, len(keys), int(count.sum()), int(degree.max()), _tiles(count, trie.shard_tokens), edges)
 
     return run
 
 
-def train(docs: DataFrame, text_col: str = "text") -> Trie:
+def _shared_in(level: Level, s: int, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in shard s and sums of the contexts of `shared` (rows of parent and sums, by parent) that may have keys there."""
+    low = level.low_parent(s)
+    a, b = np.searchsorted(shared[:, 0], [low, low + level.parents(s)])
+    return shared[a:b, 0] - low, shared[a:b, 1:]
+
+
+def _make_probabilities(trie_of, k: int, shared: np.ndarray):
+    """Quantised probabilities and lambdas of the shards given; shared: sums of the contexts that lie in several shards."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = trie_of.value
+        level, off = trie.levels[k], np.array(DISCOUNTS[k])
+        for batch in batches:
+            for s in batch.column(0).to_pylist():
+                if not level.sizes[s]:
+                    # A shard without keys still says that its contexts have lambda 1.
+                    left = np.zeros(level.parents(s), np.uint16)
+                    at, sums = _shared_in(level, s, shared)
+                    left[at] = _quantise(np.log10(np.maximum((sums[:, 1:] @ off) / np.maximum(sums[:, 0], 1), 1e-12)))
+                    trie.put(f"probs{k}", s, [[np.zeros(0, np.uint16)], [left]])
+                    continue
+                keys = trie.part(f"keys{k}", s)[0].access(np.arange(level.sizes[s])) + level.bounds[s]
+                count = trie.part(f"counts{k}", s)[0].astype(np.int64)
+                parent, sums = _context_sums(level, s, keys, count)
+                at, whole = _shared_in(level, s, shared)
+                sums[at] = whole
+                seen = np.maximum(sums[:, 0], 1)
+                left = np.where(sums[:, 0] > 0, (sums[:, 1:] @ off) / seen, 1.0)
+                child = (keys % U64(level.width)).astype(np.int64)
+                if k == 2:
+                    word, of = np.unique(child, return_inverse=True)
+                    below = (10 ** trie.log_unigram(trie.counts(word)))[of]
+                else:
+                    # p(w|v): the child's rank is its place among the successors of the parent's last word.
+                    last = (trie.key_at(np.arange(len(sums)) + level.low_parent(s)) % U64(trie.words)).astype(np.int64)
+                    word, of = np.unique(last, return_inverse=True)
+                    below = 10 ** trie.log_p(2, trie.starts(word)[of][parent] + child)
+                p = (count - off[np.minimum(count, 3) - 1]) / seen[parent] + left[parent] * below
+                trie.put(f"probs{k}", s, [[_quantise(np.log10(np.maximum(p, 1e-16)))], [_quantise(np.log10(np.maximum(left, 1e-12)))]])
+            yield pa.record_batch([batch.column(0)], ["shard"])
+
+    return run
+
+
+def _bounds(width: int, first: np.ndarray, rows: dict, successors) -> np.ndarray:
+    """The bounds of the next level: at each cut, and within a heavy parent at even parts of its successors."""
+    out: list[int] = []
+    for s, r in sorted(rows.items()):
+        out += [(int(first[s]) + c) * width for c in (0, *r["cuts"])]
+        for p, pieces in zip(r["heavy"], r["pieces"], strict=True):
+            parent = int(first[s]) + p
+            out += [parent * width + successors(parent) * j // pieces for j in range(1, pieces)]
+            out.append((parent + 1) * width)
+    return np.array(out, U64)
+
+
+def train(docs: DataFrame, text_col: str = "text", shard_tokens: int = SHARD_TOKENS, flush: int = FLUSH) -> Trie:
     """Learn the trie from all rows of docs."""
     spark = docs.sparkSession
-    path = work_dir(spark, "lm")
-    shards = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
-    every = spark.range(0, shards, 1, min(shards, 8)).select(F.col("id").cast("int").alias("shard"), F.lit(None).cast("binary").alias("blob"))
-    sizes = "shard int, n bigint, total bigint"
-
-    def made(count, make, padded: bool = False) -> dict[int, tuple[int, int]]:
-        blobs = rows.mapInArrow(count, "shard int, blob binary")
-        blobs = blobs.union(every) if padded else blobs
-        got = blobs.groupBy("shard").applyInArrow(make, sizes).collect()
-        return {r["shard"]: (r["n"], r["total"]) for r in got}
-
-    one = made(_count_words(shards), _make_level1(path, shards))
-    counts = [one.get(s, (0, 0))[0] for s in range(shards)]
-    trie = Trie(path, shards, counts, sum(t for _, t in one.values()))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Taken as eight bytes a token; two is the least.
+    trie = Trie(work_dir(spark, "lm"), max(4, -(-size // (8 * shard_tokens))), shard_tokens, flush)
+
+    def made(count, make, shards: int) -> dict:
+        blobs = rows.mapInArrow(count, "shard int, blob binary").repartition(max(8, 2 * shards), "shard")
+        return {r["shard"]: r for r in blobs.groupBy("shard").applyInArrow(make, _MADE).collect()}
+
+    got = made(_count_words(trie), _make_words(trie), trie.shards)
+    for s, r in got.items():
+        trie.sizes[s] = r["n"]
+        trie.tokens += r["total"]
     if trie.words >= 1 << 32:
         raise ValueError("more than 2**32 distinct words")
     if not trie.words:
         return trie
-    held = spark.sparkContext.broadcast(trie)
-    two = made(_count_bigrams(held), _padded(_make_level2(held)), True)
-    trie = Trie(path, shards, counts, trie.tokens, 1 + max(t for _, t in two.values()), [two[s][0] for s in range(shards)], 2)
-    held = spark.sparkContext.broadcast(trie)
-    made(_count_trigrams(held), _padded(_make_level3(held)), True)
-    trie.levels = 3
-    return trie
-
-
-def _padded(make):
-    """Every shard gets a file, so one row with a null blob may stand for none."""
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        blobs = [b for b in table["blob"].to_pylist() if b is not None]
-        return make(key, pa.table({"blob": pa.array(blobs or [b""], pa.binary())}))
-
-    return run
+    def last_degree(place: int) -> int:
+        word = int(trie.key_at(np.array([place]))[0]) % trie.words
+        a, b = trie.starts(np.array([word, word + 1])) if word + 1 < trie.words else (*trie.starts(np.array([word])), trie.levels[2].first[-1])
+        return max(1, int(b - a))
+
+    first = trie.first
+    for k, count in ((2, _count_bigrams), (3, _count_trigrams)):
+        width = trie.words if k == 2 else trie.levels[2].widest
+        parents = int(first[-1])
+        if parents * width >= 1 << 64:
+            raise ValueError("keys of the model do not fit 64 bits")
+        level = Level(k, width, _bounds(width, first, got, (lambda _: trie.words) if k == 2 else last_degree), parents * width)
+        trie.levels[k] = level
+        held = spark.sparkContext.broadcast(trie)
+        got = made(count(held), _make_keys(held, k), level.shards)
+        seen: dict[int, list[list[int]]] = {}
+        split: set[int] = set()
+        for s, r in got.items():
+            level.sizes[s] = r["n"]
+            level.widest = max(level.widest, r["widest"])
+            for p, *sums in r["edges"]:
+                seen.setdefault(p, []).append(sums)
+                if level.shard_of(np.array([p * width], U64))[0] != s:
+                    split.add(p)
+        shared = np.array([[p, *(sum(x) for x in zip(*seen[p], strict=True))] for p in sorted(split)], np.int64).reshape(-1, 5)
+        if k == 2:
+            # A word whose successors lie in several shards has as many as all of them hold.
+            level.widest = max(level.widest, int(shared[:, 2:].sum(axis=1).max(initial=0)))
+        held = spark.sparkContext.broadcast(trie)
+        shards = spark.range(0, level.shards, 1, min(level.shards, 10_000)).select(F.col("id").cast("int").alias("shard"))
+        shards.mapInArrow(_make_probabilities(held, k, shared), "shard int").write.format("noop").mode("overwrite").save()
+        remove(spark, f"{trie.path}/counts{k}")
+        first = level.first
+    return trie
 
 
-def score_texts(trie: Trie, texts: pa.Array) -> dict[str, np.ndarray]:
-    h, first = token_hashes(texts)
-    ids, counts = _ids_of(trie, h) if trie.words else (np.full(len(h), -1), np.zeros(len(h), np.int64))
-    n = len(texts)
+def score_tokens(trie: Trie, h: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
+    """Of texts given by their token hashes: n_tokens, n_known, base_score and score."""
+    n = len(first) - 1
     if not trie.words:
         zero = np.zeros(n)
         return {"n_tokens": np.diff(first), "n_known": np.zeros(n, np.int64), "base_score": zero, "score": zero}
-    base = trie.log_unigram(counts)
+    word, of = np.unique(h, return_inverse=True)
+    ids, counts = trie.look_up(word)
+    base = trie.log_unigram(counts)[of]
+    left = np.zeros(len(word))
+    left[ids >= 0] = trie.log_lambda(2, ids[ids >= 0])
+    left, known, ids = left[of], (counts > 0)[of], ids[of]
     best = base.copy()
-    place, rank, log_p = _bigram_places(trie, ids, counts, first)
-    at = _pairs(first, len(h), 2)
-    context = at[counts[at - 1] >= MIN_COUNT]
-    word, inverse = np.unique(ids[context - 1], return_inverse=True)
-    best[context] += trie.log_lambda(word)[inverse]
-    kept = place >= 0
-    best[kept] = log_p[kept]
-    at = _pairs(first, len(h), 3)
+    place, rank, _ = _bigram_places(trie, ids, first)
+    at = _with_before(first, len(h), 2)
+    best[at] += left[at - 1]  # an unknown word's lambda is 1
+    kept = np.flatnonzero(place >= 0)
+    where, of = np.unique(place[kept], return_inverse=True)
+    best[kept] = trie.log_p(2, where)[of]
+    left = np.zeros(len(h))
+    left[kept] = trie.log_lambda(3, where)[of]
+    at = _with_before(first, len(h), 3)
     at = at[place[at - 1] >= 0]
+    best[at] += left[at - 1]
+    at = at[rank[at] >= 0]
     if len(at):
-        found, p, left = trie.trigram(place[at - 1], rank[at])
-        best[at] = np.where(found, p, best[at] + left)
+        key, of = np.unique(place[at - 1].astype(U64) * U64(trie.levels[3].width) + rank[at].astype(U64), return_inverse=True)
+        got, equal = trie.find(3, key)
+        p = np.zeros(len(key))
+        p[equal] = trie.log_p(3, got[equal])
+        hit = equal[of]
+        best[at[hit]] = p[of[hit]]
     return {
         "n_tokens": np.diff(first),
-        "n_known": kernels.sums((counts > 0).astype(float), first).astype(np.int64),
+        "n_known": kernels.sums(known.astype(float), first).astype(np.int64),
         "base_score": kernels.sums(base, first),
         "score": kernels.sums(best, first),
     }
 
 
 def _score(trie_of):
+    names = ["n_tokens", "n_known", "base_score", "score"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = trie_of.value
-        for batch in batches:
-            for at, texts in kernels.chunks(batch.column(2)):
-                got = score_texts(trie, texts)
-                names = ["n_tokens", "n_known", "base_score", "score"]
-                yield pa.record_batch(
-                    [batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), *(pa.array(got[c]) for c in names)], ["id", "held_out", *names]
-                )
+        for held, h, first in _flushed(batches, 2, SCORED):
+            got = score_tokens(trie, h, first)
+            keys = [pa.concat_arrays([b.column(c).slice(at, n) for b, at, n in held]) for c in (0, 1)]
+            yield pa.record_batch([*keys, *(pa.array(got[c]) for c in names)], ["id", "held_out", *names])
 
     return run
 

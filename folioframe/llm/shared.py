@@ -29,7 +29,9 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError(f"set {_SETTING} to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="folioframe-")
         spark.conf.set(_SETTING, found)
-    return found.rstrip("/")
+    # With its scheme, so that Spark's writers and those of this package mean the same file system.
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString().rstrip("/")
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -44,6 +46,13 @@ def saved(df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, if it is there."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def bloom_of(keys: DataFrame, column: str) -> np.ndarray:
     """A Bloom filter (two bits a key, BLOOM_BITS in all) over a bigint column.
 
