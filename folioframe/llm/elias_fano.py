@@ -15,7 +15,21 @@ _PLACE = np.zeros((256, 8), np.uint8)
 for _b in range(256):
     for _r, _p in enumerate([p for p in range(8) if _b >> p & 1]):
         _PLACE[_b, _r] = _p
-_SHIFTS = np.arange(0, 64, 8, dtype=U64)
+#: The lowest and the highest bit of each byte, for sums of all bytes of a word at once.
+_LOW, _HIGH = U64(0x0101010101010101), U64(0x8080808080808080)
+_TWOS, _FOURS, _EIGHTS = U64(0x5555555555555555), U64(0x3333333333333333), U64(0x0F0F0F0F0F0F0F0F)
+
+
+def _select_in_word(bits: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Place of the k-th set bit of each word, which must have more than k."""
+    k = k.astype(U64)
+    sums = bits - ((bits >> _ONE) & _TWOS)
+    sums = (sums & _FOURS) + ((sums >> U64(2)) & _FOURS)
+    sums = ((sums + (sums >> U64(4))) & _EIGHTS) * _LOW  # byte i: set bits of bytes 0 to i
+    full = (((k * _LOW | _HIGH) - sums) & _HIGH) >> U64(7)  # 1 for each byte that the bit lies behind
+    at = ((full * _LOW) >> U64(53)) & U64(0x78)
+    rest = k - ((sums << U64(8)) >> at & U64(255))
+    return (at + _PLACE[(bits >> at & U64(255)).astype(np.intp), rest.astype(np.intp)]).astype(np.int64)
 
 
 def _bits(values: np.ndarray, width: int) -> np.ndarray:
@@ -71,15 +85,8 @@ class EliasFano:
     def _select(self, k: np.ndarray, before: np.ndarray, flip: bool) -> np.ndarray:
         """Place of the k-th one (or zero) of the upper bitmap."""
         word = np.searchsorted(before, k, side="right") - 1
-        rest = k - before[word]
-        bits = ~self.upper[word] if flip else self.upper[word]
-        byte = ((bits[:, None] >> _SHIFTS) & U64(255)).astype(np.uint8)
-        sums = np.cumsum(np.bitwise_count(byte), axis=1, dtype=np.int64)
-        which = (sums <= rest[:, None]).sum(axis=1)
-        which = np.minimum(which, 7)
-        row = np.arange(len(k))
-        rest = rest - np.where(which > 0, sums[row, np.maximum(which - 1, 0)], 0)
-        return word * 64 + which * 8 + _PLACE[byte[row, which], rest]
+        bits = self.upper[word]
+        return word * 64 + _select_in_word(~bits if flip else bits, k - before[word])
 
     def access(self, i: np.ndarray) -> np.ndarray:
         high = self._select(i, self.ones, False) - i
@@ -90,9 +97,14 @@ class EliasFano:
         x = x.astype(U64)
         high = (x >> U64(self.width)).astype(np.int64)
         want = x & ((_ONE << U64(self.width)) - _ONE)
-        # Values with a lesser upper half stand before the zero that closes it.
-        begin = np.where(high > 0, self._select(np.maximum(high - 1, 0), self.zeros, True) - (high - 1), 0)
-        end = self._select(high, self.zeros, True) - high
+        # Values with a lesser upper half stand before the zero that closes it; this half's own zero is the next one.
+        zero = np.where(high > 0, self._select(np.maximum(high - 1, 0), self.zeros, True), -1)
+        begin = zero + 1 - high
+        rest = ~self.upper[(zero + 1) >> 6] >> ((zero + 1) & 63).astype(U64)
+        end = begin + np.bitwise_count((rest & (~rest + _ONE)) - _ONE)
+        far = np.flatnonzero(rest == 0)
+        if len(far):
+            end[far] = self._select(high[far], self.zeros, True) - high[far]
         at, equal = begin.copy(), np.zeros(len(x), bool)
         # Binary search among the values of this upper half, which are few on average.
         low, up = begin.copy(), end.copy()
