@@ -48,10 +48,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = language_id.held_out(F.col("doc_id"), 5)
-    predict = language_id.predictor(docs, language_id.train(docs.where(~held_out)))
-    return docs.select("doc_id", held_out.alias("held_out"), predict("text").alias("p")).select(
-        "doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score")
-    )
+    models = language_id.train(docs.where(~held_out))
+    return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), models).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
