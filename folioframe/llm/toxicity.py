@@ -7,9 +7,13 @@ Near copies among the training rows count once: else all words of a toxic text c
 
 Labels that say only toxic or not are graded first: words much more frequent among toxic
 labels than among others are indicators, and toxic rows are cut into mild, moderate and severe by
-the terciles of their share of indicator words. Graded labels are taken as they are.
+the terciles of their share of indicator words. Graded labels are taken as they are; one below 0 counts as 0.
 
-Training takes at most about MAX_CLEAN and MAX_TOXIC labelled rows, by a hash of the id. The model (BUCKETS
+A text is toxic if P(grade >= 1) reaches a cut calibrated on the training rows; its grade is 0 otherwise, and else 1 or the highest grade
+that is likelier than not to be reached, so that grade and verdict agree.
+
+Training takes at most about MAX_CLEAN and MAX_TOXIC labelled rows and MAX_BYTES of their texts, by a hash of the id, so that the features that
+reach the driver are bounded too (a single text longer than that is still taken whole). The model (BUCKETS
 floats, 1 MB) is broadcast. Every text is scored whole.
 
 Edge cases: null or wordless text has no features, so it gets the grade of the thresholds alone, and is
@@ -30,7 +34,7 @@ from pyspark.sql import functions as F
 from folioframe.llm import kernels
 
 BUCKETS = 1 << 18
-MAX_CLEAN, MAX_TOXIC = 6_000, 4_000
+MAX_CLEAN, MAX_TOXIC, MAX_BYTES = 6_000, 4_000, 200_000_000
 #: Words in fewer training rows than this are left out of the model.
 LEAST_ROWS = 5
 #: The model keeps words whose log odds between toxic and other rows lie so many standard errors, and so far, from 0: the weights are sparse.
@@ -156,14 +160,18 @@ def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_clean: int = MAX_CLEAN, max_toxic: int = MAX_TOXIC) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_clean: int = MAX_CLEAN, max_toxic: int = MAX_TOXIC, max_bytes: int = MAX_BYTES) -> Model | None:
     """A model from labels (id, grade): 0 and 1 are graded by indicator words, other grades kept. None without both kinds."""
-    rated = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
+    rated = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.greatest(F.max(label_col).cast("int"), F.lit(0)).alias("toxic"))
     size = rated.agg(F.count_if(F.col("toxic") > 0).alias("ill"), F.count_if(F.col("toxic") == 0).alias("well")).first()
     if not size["ill"] or not size["well"]:
         return None
     share = F.when(F.col("toxic") > 0, min(1.0, max_toxic / size["ill"])).otherwise(min(1.0, max_clean / size["well"]))
     chosen = rated.where(F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(1 << 20)) < share * (1 << 20))
+    # Ids and lengths alone: how much of them fits max_bytes.
+    held = docs.select(F.col(id_col).alias("id"), F.octet_length(text_col).alias("bytes")).join(F.broadcast(chosen), "id").agg(F.sum("bytes")).first()[0] or 0
+    if held > max_bytes:
+        chosen = chosen.where(F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1 << 20)) < int(max_bytes / held * (1 << 20)))
     # About max_clean + max_toxic rows of 12 bytes: small enough to broadcast whatever the size of labels.
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
     got = rows.select("toxic", "text", F.col("id").cast("string").alias("id")).mapInArrow(_collect, "toxic int, id string, words bigint, buckets binary, counts binary").toArrow()
@@ -204,7 +212,8 @@ def scorer(docs: DataFrame, model: Model | None):
             else:
                 above, words = model.score(part)
             toxic = (above[:, 0] >= (model.least if model else 2)) & (words > 0)
-            columns = [(above >= 0.5).sum(axis=1).astype(np.int32), above.sum(axis=1), above[:, 0].copy(), toxic]
+            grade = np.where(toxic, np.maximum((above >= 0.5).sum(axis=1), 1), 0)
+            columns = [grade.astype(np.int32), above.sum(axis=1), above[:, 0].copy(), toxic]
             out.append(pa.StructArray.from_arrays([pa.array(c) for c in columns], fields=list(kind)))
         return pa.concat_arrays(out) if out else pa.array([], kind)
 
