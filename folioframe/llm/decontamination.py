@@ -15,7 +15,8 @@ of one that stand together (2e-5). Items of 8 shingles or fewer form a class of
 shingles: all their shingles are indexed, and none is missed. Candidates are verified by
 exact containment in the document's whole shingle set, where they are found: there is no shuffle.
 
-Items are broadcast in blocks of at most BLOCK_ITEMS, one pass over the documents for each block.
+Items are broadcast in blocks of about BLOCK_ITEMS items and BLOCK_BYTES of text at most, one pass over the documents for each block; an
+item longer than that is a block's only one. Rows of items whose id is null are searched and reported with it.
 
 Edge cases: null or blank texts and items match nothing; an item with fewer than five words is one
 shingle, and matches only a document that is the same sequence; repeated rows and ids are rows of their own;
@@ -40,10 +41,16 @@ PERMUTATIONS = 24
 #: Shingles of the smallest block; classes are 1, 2, 4 ... blocks.
 BLOCK = 8
 CLASSES = 12
-BLOCK_ITEMS = 100_000
+BLOCK_ITEMS, BLOCK_BYTES = 100_000, 32_000_000
 _MULTIPLIERS = kernels.mix(np.arange(101, 101 + PERMUTATIONS, dtype=U64)) | U64(1)
 
 
+def _within(first: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The places first[i]:first[i + 1] of each i of at, one after another."""
+    n = np.diff(first)[at]
+    return np.repeat(first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 class Items:
     """The minima of some items, by class and permutation, and their shingle sets."""
 
@@ -53,7 +60,7 @@ class Items:
         self.ids, self.value, self.first, self.size = ids, value, first, size
         tiny = np.flatnonzero((size > 0) & (size <= BLOCK))
         owner = np.repeat(tiny, size[tiny])
-        mine = np.concatenate([value[first[i] : first[i + 1]] for i in tiny]) if len(tiny) else np.zeros(0, U64)
+        mine = value[_within(first, tiny)]
         order = np.argsort(mine, kind="stable")
         self.tiny, self.tiny_owner = mine[order], owner[order]
         self.tiny_maybe = np.zeros(1 << 16, bool)
@@ -63,10 +70,11 @@ class Items:
         self.tables: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         for c in sorted(set(cls[full].tolist())):
             mine = full[cls[full] == c]
+            held, begin = value[_within(first, mine)], np.cumsum(size[mine]) - size[mine]
             tables = []
             for a in _MULTIPLIERS:
                 with np.errstate(over="ignore"):
-                    least = np.array([(value[first[i] : first[i + 1]] * a).min() for i in mine], U64)
+                    least = np.minimum.reduceat(held * a, begin)
                 order = np.argsort(least, kind="stable")
                 maybe = np.zeros(1 << 16, bool)
                 maybe[least >> U64(8) & U64(0xFFFF)] = True
@@ -135,24 +143,32 @@ def _document_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
+def _hits(items: Items, texts: pa.Array, threshold: float) -> tuple[list[int], list[int], list[int]]:
+    """Rows of texts, items that they contain, and shingles matched."""
+    docs, found, matched = [], [], []
+    if items.size.any():
+        n = len(items.size)
+        grams, first = _document_grams(texts)
+        pairs = items.candidates(grams, first)
+        for d, i in zip((pairs // n).tolist(), (pairs % n).tolist(), strict=True):
+            mine = items.value[items.first[i] : items.first[i + 1]]
+            both = int(np.isin(mine, grams[first[d] : first[d + 1]]).sum())
+            if both >= threshold * len(mine) - 1e-9:
+                docs.append(d)
+                found.append(i)
+                matched.append(both)
+    return docs, found, matched
+
+
 def _search(items_of, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = items_of.value
-        n = len(items.size)
         for batch in batches:
             for at, texts in kernels.chunks(batch.column(1)):
-                if not items.size.any():
+                docs, found, matched = _hits(items, texts, threshold)
+                if not docs:
                     continue
-                grams, first = _document_grams(texts)
-                pairs = items.candidates(grams, first)
-                docs, found, matched = [], [], []
-                for d, i in zip((pairs // n).tolist(), (pairs % n).tolist(), strict=True):
-                    mine = items.value[items.first[i] : items.first[i + 1]]
-                    both = int(np.isin(mine, grams[first[d] : first[d + 1]]).sum())
-                    if both >= threshold * len(mine) - 1e-9:
-                        docs.append(at + d)
-                        found.append(i)
-                        matched.append(both)
+                docs = [at + d for d in docs]
                 size = items.size[found] if found else np.zeros(0, np.int64)
                 yield pa.record_batch(
                     [
@@ -168,6 +184,15 @@ def _search(items_of, threshold: float):
     return run
 
 
+def _blocks(items: DataFrame, item_id_col: str, item_text_col: str, block_items: int, block_bytes: int) -> Iterator[Items]:
+    tests = items.select(F.col(item_id_col).alias("id"), F.col(item_text_col).cast("string").alias("text"))
+    size = tests.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    blocks = max(1, -(-size["n"] // block_items), -(-(size["bytes"] or 0) // block_bytes))
+    for k in range(blocks):
+        part = tests.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).toArrow()
+        yield Items(part["id"].combine_chunks(), part["text"].combine_chunks().cast(pa.large_string()))
+
+
 def find_items(
     docs: DataFrame,
     items: DataFrame,
@@ -177,18 +202,42 @@ def find_items(
     item_text_col: str = "text",
     threshold: float = THRESHOLD,
     block_items: int = BLOCK_ITEMS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """(doc id, item id, n_shingles of the item, n_matched, containment) of each hit."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    tests = items.select(F.col(item_id_col).alias("id"), F.col(item_text_col).cast("string").alias("text"))
-    id_type, item_type = rows.schema["id"].dataType.simpleString(), tests.schema["id"].dataType.simpleString()
+    id_type, item_type = rows.schema["id"].dataType.simpleString(), items.schema[item_id_col].dataType.simpleString()
     kind = f"doc {id_type}, item {item_type}, n_shingles bigint, n_matched bigint, containment double"
-    blocks = max(1, -(-tests.count() // block_items))
     out = None
-    for k in range(blocks):
-        part = tests.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).toArrow()
-        held = spark.sparkContext.broadcast(Items(part["id"].combine_chunks(), part["text"].combine_chunks().cast(pa.large_string())))
-        hits = rows.mapInArrow(_search(held, threshold), kind)
+    for block in _blocks(items, item_id_col, item_text_col, block_items, block_bytes):
+        hits = rows.mapInArrow(_search(spark.sparkContext.broadcast(block), threshold), kind)
         out = hits if out is None else out.union(hits)
     return out.withColumnsRenamed({"doc": id_col, "item": item_id_col})
+
+
+def without_items(
+    docs: DataFrame,
+    items: DataFrame,
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    threshold: float = THRESHOLD,
+    block_items: int = BLOCK_ITEMS,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of docs that contain no item. Each row is decided by its own text where it is read, so nothing is joined or shuffled."""
+    for block in _blocks(items, item_id_col, item_text_col, block_items, block_bytes):
+        docs = docs.where(~_contains(docs.sparkSession.sparkContext.broadcast(block), threshold)(F.col(text_col).cast("string")))
+    return docs
+
+
+def _contains(items_of, threshold: float):
+    @F.arrow_udf("boolean")
+    def contains(texts: pa.Array) -> pa.Array:
+        out = np.zeros(len(texts), bool)
+        for at, part in kernels.chunks(texts):
+            out[[at + d for d in _hits(items_of.value, part, threshold)[0]]] = True
+        return pa.array(out)
+
+    return contains
