@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +54,20 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def numbered(docs: DataFrame, file: str, row: str) -> DataFrame:
+    """docs with two bigint columns that tell every row apart: a hash of its file and its place there.
+
+    Both are what the reader of Parquet files knows of a row, so a task that runs again gives the same. Rows that come from elsewhere are
+    written as such files first.
+    """
+    at = {file: F.xxhash64("_metadata.file_path"), row: F.col("_metadata.row_index")}
+    try:
+        return docs.select("*", *(c.alias(name) for name, c in at.items()))
+    except AnalysisException:
+        written = saved(docs, work_dir(docs.sparkSession, "rows"))
+        return written.select("*", *(c.alias(name) for name, c in at.items()))
+
+
 def bloom_of(keys: DataFrame, column: str) -> np.ndarray:
     """A Bloom filter (two bits a key, BLOOM_BITS in all) over a bigint column.
 
