@@ -10,6 +10,8 @@ import numpy as np
 
 U64 = np.uint64
 _ONE = U64(1)
+#: Look-ups made at a time: their arrays stay in a core's cache.
+BLOCK = 1 << 14
 #: Place of the r-th set bit of each byte.
 _PLACE = np.zeros((256, 8), np.uint8)
 for _b in range(256):
@@ -92,8 +94,20 @@ class EliasFano:
         high = self._select(i, self.ones, False) - i
         return (high.astype(U64) << U64(self.width)) | self._lows(i)
 
+    def decoded(self) -> np.ndarray:
+        """All values; a pass over the bits is cheaper than a look-up each."""
+        at = np.arange(self.n)
+        place = np.flatnonzero(np.unpackbits(self.upper.view(np.uint8), bitorder="little"))
+        return ((place - at).astype(U64) << U64(self.width)) | self._lows(at)
+
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The first place with a value >= x (n if none), and whether that value is x."""
+        if len(x) <= BLOCK:
+            return self._successor(x)
+        parts = [self._successor(x[k : k + BLOCK]) for k in range(0, len(x), BLOCK)]
+        return np.concatenate([p for p, _ in parts]), np.concatenate([e for _, e in parts])
+
+    def _successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x = x.astype(U64)
         high = (x >> U64(self.width)).astype(np.int64)
         want = x & ((_ONE << U64(self.width)) - _ONE)

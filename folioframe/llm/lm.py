@@ -27,13 +27,7 @@ only one there is; repeated rows teach and are scored each; empty tables give no
 
 from __future__ import annotations
 
-import io
-import mmap
-import os
-import tempfile
-import uuid
 from collections.abc import Iterator
-from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +36,7 @@ from pyspark.sql import functions as F
 
 from folioframe.llm import kernels
 from folioframe.llm.elias_fano import EliasFano
+from folioframe.llm.files import map_arrays, write_arrays
 from folioframe.llm.kernels import U64
 from folioframe.llm.shared import remove, work_dir
 
@@ -53,69 +48,6 @@ STEP = 4096.0
 #: Tokens that a task counts before it emits, training tokens of a shard, and tokens scored at a time.
 FLUSH, SHARD_TOKENS, SCORED = 2_000_000, 4_000_000, 500_000
 
-# Files of arrays in the shared folder.
-
-
-def _local(path: str) -> str | None:
-    u = urlparse(path)
-    return unquote(u.path) if u.scheme in ("", "file") else None
-
-
-def write_arrays(path: str, groups: list[list[np.ndarray]]) -> None:
-    """Arrays in groups, 8-byte aligned, behind a header; the file appears whole or not at all."""
-    flat = [np.ascontiguousarray(a) for g in groups for a in g]
-    sizes = [-(-a.nbytes // 8) * 8 for a in flat]
-    head = np.array([len(groups), *(len(g) for g in groups), *(x for a in flat for x in (np.dtype(a.dtype).num, len(a)))], np.int64)
-    out = io.BytesIO()
-    out.write(np.array([len(head)], np.int64).tobytes() + head.tobytes())
-    for a, n in zip(flat, sizes, strict=True):
-        out.write(a.tobytes().ljust(n, b"\0"))
-    local = _local(path)
-    if local:
-        os.makedirs(os.path.dirname(local), exist_ok=True)
-        own = f"{local}.{uuid.uuid4().hex}"
-        with open(own, "wb") as f:
-            f.write(out.getbuffer())
-        os.replace(own, local)
-    else:
-        from pyarrow import fs
-
-        system, at = fs.FileSystem.from_uri(path)
-        system.create_dir(os.path.dirname(at), recursive=True)
-        with system.open_output_stream(at) as f:
-            f.write(out.getbuffer())
-
-
-def map_arrays(path: str) -> list[list[np.ndarray]]:
-    local = _local(path)
-    if local:
-        with open(local, "rb") as f:
-            view = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
-    else:
-        from pyarrow import fs
-
-        system, at = fs.FileSystem.from_uri(path)
-        with tempfile.TemporaryFile() as own, system.open_input_stream(at) as f:
-            while piece := f.read(1 << 22):
-                own.write(piece)
-            own.flush()
-            view = mmap.mmap(own.fileno(), 0, access=mmap.ACCESS_READ)
-    kinds = {np.dtype(t).num: np.dtype(t) for t in (np.int64, np.uint64, np.uint32, np.uint16)}
-    n = int(np.frombuffer(view, np.int64, 1)[0])
-    head = np.frombuffer(view, np.int64, n, 8).tolist()
-    counts, rest = head[1 : 1 + head[0]], head[1 + head[0] :]
-    at, k, groups = 8 + 8 * n, 0, []
-    for c in counts:
-        group = []
-        for _ in range(c):
-            kind, size = kinds[rest[2 * k]], rest[2 * k + 1]
-            group.append(np.frombuffer(view, kind, size, at) if size else np.zeros(0, kind))
-            at += -(-size * kind.itemsize // 8) * 8
-            k += 1
-        groups.append(group)
-    return groups
-
-
 # The trie.
 
 
@@ -131,7 +63,7 @@ def _each(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each shard that occurs and the places where it does."""
     if not len(shard):
         return
-    order = np.arange(len(shard)) if (shard[1:] >= shard[:-1]).all() else np.argsort(shard, kind="stable")
+    order = np.arange(len(shard)) if (shard[1:] >= shard[:-1]).all() else np.argsort(shard.astype(np.uint16) if shard.max() < 1 << 16 else shard, kind="stable")
     ordered = shard[order]
     edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]]))
     for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
@@ -252,13 +184,16 @@ class Trie:
         """The place of the first bigram of each word."""
         return self.find(2, words.astype(U64) * U64(self.words))[0]
 
-    def key_at(self, place: np.ndarray) -> np.ndarray:
-        """The keys of the bigrams at these places."""
-        level, out = self.levels[2], np.zeros(len(place), U64)
-        first = level.first
-        for s, at in _each(np.searchsorted(first, place, side="right") - 1):
-            out[at] = self.part("keys2", s)[0].access(place[at] - first[s]) + level.bounds[s]
-        return out
+    def bigram_keys(self, begin: int, end: int) -> np.ndarray:
+        """The keys of the bigrams at a range of places."""
+        level, first, out = self.levels[2], self.levels[2].first, [np.zeros(0, U64)]
+        for s in range(level.shards):
+            a, b = max(begin, int(first[s])), min(end, int(first[s + 1]))
+            if a < b:
+                keys = self.part("keys2", s)[0]
+                got = keys.access(np.arange(a - first[s], b - first[s])) if b - a < keys.n // 8 else keys.decoded()[a - first[s] : b - first[s]]
+                out.append(got + level.bounds[s])
+        return np.concatenate(out)
 
 
 def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -441,7 +376,8 @@ def _make_keys(trie_of, k: int):
         level = trie.levels[k]
         keys, count = _summed(table)
         trie.put(f"keys{k}", s, [EliasFano.of(keys - level.bounds[s], max(1, level.end(s) - int(level.bounds[s]))).arrays()])
-        trie.put(f"counts{k}", s, [[count.astype(np.uint64)]])
+        much = np.flatnonzero(count >= 255)
+        trie.put(f"counts{k}", s, [[np.minimum(count, 255).astype(np.uint8)], [much], [count[much]]])
         parent, sums = _context_sums(level, s, keys, count)
         ends = sorted({int(parent[0]), int(parent[-1])})
         degree = sums[:, 1:].sum(axis=1)
@@ -473,8 +409,10 @@ def _make_probabilities(trie_of, k: int, shared: np.ndarray):
                     left[at] = _quantise(np.log10(np.maximum((sums[:, 1:] @ off) / np.maximum(sums[:, 0], 1), 1e-12)))
                     trie.put(f"probs{k}", s, [[np.zeros(0, np.uint16)], [left]])
                     continue
-                keys = trie.part(f"keys{k}", s)[0].access(np.arange(level.sizes[s])) + level.bounds[s]
-                count = trie.part(f"counts{k}", s)[0].astype(np.int64)
+                keys = trie.part(f"keys{k}", s)[0].decoded() + level.bounds[s]
+                small, much, counts = trie.part(f"counts{k}", s)
+                count = small.astype(np.int64)
+                count[much] = counts
                 parent, sums = _context_sums(level, s, keys, count)
                 at, whole = _shared_in(level, s, shared)
                 sums[at] = whole
@@ -486,7 +424,7 @@ def _make_probabilities(trie_of, k: int, shared: np.ndarray):
                     below = (10 ** trie.log_unigram(trie.counts(word)))[of]
                 else:
                     # p(w|v): the child's rank is its place among the successors of the parent's last word.
-                    last = (trie.key_at(np.arange(len(sums)) + level.low_parent(s)) % U64(trie.words)).astype(np.int64)
+                    last = (trie.bigram_keys(level.low_parent(s), level.low_parent(s) + len(sums)) % U64(trie.words)).astype(np.int64)
                     word, of = np.unique(last, return_inverse=True)
                     below = 10 ** trie.log_p(2, trie.starts(word)[of][parent] + child)
                 p = (count - off[np.minimum(count, 3) - 1]) / seen[parent] + left[parent] * below
@@ -530,7 +468,7 @@ def train(docs: DataFrame, text_col: str = "text", shard_tokens: int = SHARD_TOK
         return trie
 
     def last_degree(place: int) -> int:
-        word = int(trie.key_at(np.array([place]))[0]) % trie.words
+        word = int(trie.bigram_keys(place, place + 1)[0]) % trie.words
         a, b = trie.starts(np.array([word, word + 1])) if word + 1 < trie.words else (*trie.starts(np.array([word])), trie.levels[2].first[-1])
         return max(1, int(b - a))
 

@@ -5,6 +5,7 @@ import hashlib
 import io
 import math
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -182,6 +183,67 @@ def test_toxicity_held_out(spark):
     assert docs.select(none("text").alias("s")).where("s.toxic or s.grade > 0").count() == 0
 
 
+def test_toxicity_grades_agree_with_verdicts(spark):
+    got = queries.op3_toxicity(spark, "/root/testdata/sf0.01")
+    assert got.where("(severity > 0) <> toxic").count() == 0 and got.where("toxic").count() > 0
+
+
+def test_toxicity_graded_labels(spark):
+    """Labels of more grades are used as they are; ties, repeats and one below 0 too."""
+    rng, texts, grades = np.random.default_rng(2), [], []
+    for k in range(300):
+        g = k % 3
+        w = rng.choice([f"word{j}" for j in range(200)], 40).tolist() + ["vile", "scum", "filth"] * (4 * g)
+        texts.append(" ".join(w))
+        grades.append(g if g else -1 if k % 2 else 0)
+    docs = table(spark, texts)
+    labels = spark.createDataFrame([(i, g) for i, g in enumerate(grades)] * 2, "doc_id bigint, toxic int")
+    model = toxicity.train(docs, labels)
+    assert len(model.thresholds) == 2
+    got = {r["doc_id"]: r["s"] for r in docs.select("doc_id", toxicity.scorer(docs, model)("text").alias("s")).collect()}
+    assert np.mean([got[i]["grade"] == max(0, g) for i, g in enumerate(grades)]) > 0.95
+    small = toxicity.train(docs, labels, max_bytes=sum(map(len, texts)) // 3)
+    assert small is None or len(small.thresholds) <= 2
+
+
+def test_ordinal_likelihood_against_brute_force():
+    """The fitted cumulative-link model is a local optimum of the likelihood computed row by row, and its scores follow the formula."""
+    texts = ["vile a b c", "vile vile d e", "a b c d", "e f g h", "vile f g a", "b d f h", "c e g vile scum", "scum scum vile a"] * 6
+    grade = np.array([1, 2, 0, 0, 1, 0, 1, 2] * 6)
+    row, bucket, count, n = toxicity.features(pa.array(texts, pa.large_string()))
+    model = toxicity.fit(row, bucket, count, n, grade, steps=3000)
+    above, _ = model.score(pa.array(texts, pa.large_string()))
+    for i, text in enumerate(texts):
+        s = 0.0
+        for w, c in Counter(text.split()).items():
+            _, b, _, _ = toxicity.features(pa.array([w], pa.large_string()))
+            s += float(model.weights[b[0]]) * math.sqrt(c / len(text.split()))
+        assert above[i] == pytest.approx([1 / (1 + math.exp(t - s)) for t in model.thresholds], abs=1e-5)
+    ill, well = (grade > 0).sum(), (grade == 0).sum()
+
+    def loss(weights, thresholds):
+        total = 0.0
+        for i in range(len(texts)):
+            s = sum(weights[b] * math.sqrt(c / n[i]) for b, c in zip(bucket[row == i], count[row == i]))
+            cut = [-math.inf, *thresholds, math.inf]
+            p = 1 / (1 + math.exp(-min(40, cut[grade[i] + 1] - s))) - (0 if grade[i] == 0 else 1 / (1 + math.exp(-(cut[grade[i]] - s))))
+            total -= math.log(max(p, 1e-9)) * (0.5 / ill if grade[i] else 0.5 / well)
+        return total + 1e-6 * (weights**2).sum()
+
+    weights, base = model.weights.astype(float), None
+    base = loss(weights, model.thresholds)
+    for b in np.flatnonzero(weights):
+        for step in (0.3, -0.3):
+            moved = weights.copy()
+            moved[b] += step
+            assert loss(moved, model.thresholds) >= base - 2e-3
+    for k in range(2):
+        for step in (0.3, -0.3):
+            moved = model.thresholds.copy()
+            moved[k] += step
+            assert moved[0] >= moved[1] or loss(weights, moved) >= base - 2e-3
+
+
 # 4: Jaccard join.
 
 
@@ -258,6 +320,28 @@ def test_packing_round_trip(spark):
     assert packing.pack(table(spark, texts).limit(0)).count() == 0
 
 
+@given(st.text(max_size=80))
+@settings(max_examples=1500, deadline=None)
+def test_fast_tokenizer_gives_the_ids_of_the_slow_one(text):
+    encode = packing.tokenizer()
+    assert list(encode(text)) == encode.full.encode(text, add_special_tokens=False).ids
+
+
+def test_every_text_takes_the_slow_tokenizer_if_they_disagree(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(packing.FastTokenizer, "SELF_CHECK", ("ab cd",))
+    other = packing.FastTokenizer(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), r"[\s\S]")
+    assert other("ab cd") == other.full.encode("ab cd", add_special_tokens=False).ids != other.fast.encode_ordinary("ab cd")
+
+
+def test_packing_ties_and_repeats(spark):
+    docs = table(spark, ["same words here " * 200] * 40 + ["short"] * 50, ids=[1] * 90)
+    got = packing.pack(docs).collect()
+    assert len({(r["sequence_id"], r["offset"]) for r in got}) == len(got)
+    assert sum(r["length"] for r in got) == sum(r["doc_tokens"] for r in got if r["start"] == 0)
+
+
 def test_packing_has_all_combinations():
     got = packing.combinations(np.arange(1, 1024), 1024)
     assert len(np.unique(got, axis=0)) == len(got)
@@ -293,7 +377,19 @@ def test_items_against_brute_force(spark):
     for block in (100, 4):
         got = decontamination.find_items(docs, tests, block_items=block).select("doc_id", "item_id", "n_shingles", "n_matched").collect()
         assert sorted(map(tuple, got)) == sorted(want)
+        left = decontamination.without_items(docs, tests, block_items=block).select("doc_id").collect()
+        assert sorted(r["doc_id"] for r in left) == sorted(set(range(len(texts))) - {d for d, *_ in want})
     assert decontamination.find_items(docs, tests.limit(0)).count() == 0
+    assert decontamination.without_items(docs, tests.limit(0)).count() == len(texts)
+
+
+def test_items_by_bytes_clashing_columns_and_null_ids(spark):
+    items = [(None, "a b c d e f g"), (1, "h i j k l m n"), (1, "h i j k l m n"), (2, None)]
+    tests = spark.createDataFrame([(*x, "c", 0) for x in items], "item_id bigint, text string, doc string, n_matched int")
+    docs = spark.createDataFrame([(7, "x a b c d e f g y", "d", 1), (None, "h i j k l m n", "d", 2), (8, None, "d", 3)], "doc_id bigint, text string, item string, containment int")
+    got = decontamination.find_items(docs, tests, block_bytes=10).select("doc_id", "item_id", "n_matched").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(7, None, 3), (None, 1, 3), (None, 1, 3)], key=str)
+    assert [r["containment"] for r in decontamination.without_items(docs, tests).collect()] == [3]
 
 
 # 7: language.
@@ -306,13 +402,50 @@ def test_language_held_out_accuracy(spark):
 
 def test_language_edges(spark):
     docs = table(spark, [*ODD, "12 34", "some english words here"])
-    model = language_id.train(docs)
-    predict = language_id.predictor(docs, model)
-    got = [r["p"] for r in docs.select("doc_id", predict("text").alias("p")).orderBy("doc_id").collect()]
-    assert [p["lang"] for p in got] == ["und", "und", "und", *["en"] * 7, "und", "en"]
-    assert all(0 <= p["score"] <= 1 for p in got)
+    got = language_id.predict(docs, language_id.train(docs)).orderBy("doc_id").collect()
+    assert [r["lang_pred"] for r in got] == ["und", "und", "und", *["en"] * 7, "und", "en"]
+    assert all(0 <= r["score"] <= 1 for r in got)
     empty = language_id.train(docs.limit(0))
-    assert docs.select(language_id.predictor(docs, empty)("text").alias("p")).where("p.lang <> 'und'").count() == 0
+    assert language_id.predict(docs, empty).where("lang_pred <> 'und' or score <> 0").count() == 0
+
+
+def brute_language(train, asked):
+    """Naive Bayes by dictionaries of bucket counts: (lang, probability) of each asked text."""
+
+    def features(text):
+        code, first, known = language_id.symbols(pa.array([text], pa.large_string()))
+        return [x for b in language_id.buckets(code, first) for x in b.tolist()], bool(known[0])
+
+    counts, size = defaultdict(Counter), Counter(lang for _, lang in train)
+    for text, lang in train:
+        counts[lang].update(features(text)[0])
+    out = []
+    for text in asked:
+        found, known = features(text)
+        if not known:
+            out.append(("und", 0.0))
+            continue
+        total = {}
+        for lang, c in counts.items():
+            z = sum(c.values()) + language_id.ALPHA * language_id.BUCKETS
+            total[lang] = math.log(size[lang] / len(train)) + sum(math.log((c[x] + language_id.ALPHA) / z) for x in found)
+        best = min(total, key=lambda x: (-total[x], x))
+        out.append((best, 1 / sum(math.exp(t - total[best]) for t in total.values())))
+    return out
+
+
+@pytest.mark.parametrize("block", [256, 1, 2])
+def test_language_against_brute_force(spark, block):
+    """Also with more languages than a block holds."""
+    train = [("the cat sat", "en"), ("a dog ran", "en"), ("der Hund lief", "de"), ("le chien", "fr"), ("el perro", "es"), ("o cão", "pt")]
+    asked = ["the dog", "der Katze", "le chat", "cão", "", None, "12", "x" * 5000, "el gato el gato"]
+    docs = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(train)], "doc_id bigint, text string, lang string")
+    models = language_id.train(docs, block_languages=block)
+    assert len(models) == -(-5 // block)
+    rows = spark.createDataFrame(list(enumerate(asked)), "doc_id bigint, text string")
+    got = language_id.predict(rows, models).orderBy("doc_id").collect()
+    for r, (lang, p) in zip(got, brute_language(train, [t or "" for t in asked])):
+        assert r["lang_pred"] == lang and r["score"] == pytest.approx(p, rel=1e-4)
 
 
 # 8: URLs.
@@ -415,6 +548,74 @@ def test_references_count_every_word(spark):
         assert sorted(refs.shares[0][:-1], reverse=True) == [x / 400 for _, x in c.most_common(quality.COMMON)]
 
 
+def test_quality_is_the_same_however_rows_are_dealt(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = []
+    for n in (1, 7, 211):
+        dealt = docs.repartition(n)
+        got.append(sorted(map(tuple, quality.judge(dealt, quality.learn(dealt)).collect())))
+    assert got[0] == got[1] == got[2]
+
+
+def test_quality_verdicts_against_brute_force(spark):
+    rows = [(r["text"], r["lang"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    rows += [("ÀÉ ABC def 12 漢字 ́ ,.!? #$ \t x\u200b", "en"), ("WORD " * 300, "en"), ("tie one tie one two two", "en"), (None, "en"), ("no language at all " * 30, None)]
+    docs = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(rows)], "doc_id bigint, text string, lang string")
+
+    def kind(c):
+        cat = unicodedata.category(c)
+        return 5 if c in "\t\n\x0b\x0c\r" else {"Ll": 0, "Lu": 1, "Lt": 1}.get(cat, {"L": 2, "M": 3, "N": 4, "Z": 5, "P": 6, "S": 7}.get(cat[0], 8))
+
+    def histogram(text):
+        return Counter(map(kind, text or ""))
+
+    refs = {}
+    for lang in sorted({x for t, x in rows if x and t is not None}):
+        mine = [t for t, x in rows if x == lang and t is not None]
+        chars, ws = sum(map(histogram, mine), Counter()), Counter(w for t in mine for w in words(t))
+        hashed = {w: int(kernels.Words(pa.array([w], pa.large_string())).hashes().view(np.int64)[0]) for w in ws}
+        top = sorted(ws, key=lambda w: (-ws[w], hashed[w]))[: quality.COMMON]
+        refs[lang] = (chars, {w: ws[w] / sum(ws.values()) for w in top})
+
+    def distance(p, q):
+        total = 0.0
+        for a, b in zip(p, q):
+            m = (a + b) / 2
+            total += (a * math.log2(a / m) if a else 0) / 2 + (b * math.log2(b / m) if b else 0) / 2
+        return math.sqrt(max(0.0, total))
+
+    def distances(text):
+        h, ws = histogram(text), Counter(words(text))
+        best = None
+        for lang, (chars, top) in refs.items():
+            c = distance([h[k] / max(1, sum(h.values())) for k in range(9)], [chars[k] / sum(chars.values()) for k in range(9)])
+            n = max(1, sum(ws.values()))
+            w = distance([*(ws[x] / n for x in top), 0 if not ws and not text else 1 - sum(ws[x] for x in top) / n] if ws else [0.0] * (len(top) + 1), [*top.values(), 1 - sum(top.values())])
+            if best is None or c + w < best[0] - 1e-12:
+                best = (c + w, c, w, lang)
+        return best[1:]
+
+    got = {r["doc_id"]: r for r in quality.judge(docs, quality.learn(docs)).collect()}
+    over = {0: {}, 1: {}}
+    chance = lambda bins, n: math.sqrt((bins - 1) / (8 * math.log(2) * max(n, 1)))
+    for i, (text, _) in enumerate(rows):
+        c, w, lang = distances(text)
+        assert (got[i]["char_distance"], got[i]["word_distance"]) == pytest.approx((c, w), abs=1e-6)
+        n, chars = brute_quality(text)[:2]
+        if chars >= quality.LEAST_CHARS:
+            over[0][i] = c - chance(9, chars)
+        if n >= quality.LEAST_WORDS:
+            over[1][i] = w - chance(quality.COMMON + 1, n) / 4
+    limits = []
+    for k in (0, 1):
+        v = np.round(np.array(list(over[k].values())) * quality.BINS) / quality.BINS
+        lower = lambda x: float(np.sort(x)[(len(x) + 1) // 2 - 1])
+        limits.append(max(quality.LEAST_LIMIT, lower(v) + quality.SPREAD * 1.4826 * lower(np.abs(v - lower(v)))))
+    for i in range(len(rows)):
+        odd = any(over[k].get(i, 0) > limits[k] for k in (0, 1))
+        assert got[i]["kept"] == (not got[i]["base_failed"] and not odd), i
+
+
 def test_js_distance():
     p, q = np.array([[1.0, 0, 0], [0.5, 0.5, 0]]), np.array([0.5, 0.5, 0])
     got = quality.js_distance(p, q)
@@ -516,6 +717,41 @@ def brute_components_fast(texts):
     return [find(i) for i, _ in texts]
 
 
+def test_stages_decide_by_row(spark, tmp_path):
+    """Equal and null ids, repeated rows, extra columns: each row is decided for itself."""
+    a, b, c = ("alpha beta gamma delta epsilon zeta " * 20, "one two three four five six seven " * 20, "red green blue white black grey " * 20)
+    rows = [(5, a), (5, a), (9, a), (9, b), (None, c), (None, c)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), 1, 2) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, __lang int, id int")
+    got = corpus_pipeline.near_duplicates(spark, docs, "").select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(5, a), (9, b), (None, c)], key=str)
+    docs.write.parquet(f"{tmp_path}/docs")  # and read from files
+    got = corpus_pipeline.near_duplicates(spark, spark.read.parquet(f"{tmp_path}/docs"), "").select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(5, a), (9, b), (None, c)], key=str)
+    item = "the exact words of a test item that should not be trained on at all"
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    mixed = docs.union(spark.createDataFrame([(None, item, "en", "s", 1, 1, 2), (9, item + " " + b, "en", "s", 1, 1, 2)], docs.schema))
+    got = corpus_pipeline.decontaminate(spark, mixed, str(tmp_path)).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(rows, key=str)
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark, tmp_path):
+    spark.createDataFrame([(0, 1, 0), (1, 0, 1), (3, None, None)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, None), (None, "")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    long = "long text " * 100_000
+    for rows in ([(i, t, x, None, None) for i, (t, x) in enumerate([*((t, "en") for t in ODD), ("plain words", None), (long, "en"), (long, "en")])], []):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+        for name, stage in corpus_pipeline.STAGES:
+            got = stage(spark, docs, str(tmp_path))
+            if name != "packing":
+                assert got.columns == list(corpus_pipeline.COLUMNS)
+            if not rows:
+                assert got.count() == 0
+            elif name in ("toxicity", "decontamination"):
+                assert got.count() == len(rows)
+            elif name == "near_duplicates":
+                assert got.count() == len({t if t and t.split() else (i, t) for i, t, *_ in [(i, (t or "").lower() if t != long else long) for i, t, *_ in rows]})
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_against_duckdb(spark, name):
     con = duckdb.connect()
