@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir), decides on whole documents and returns those it keeps with
 the columns of documents; the last returns the packed pieces. Between stages the documents are
 written as Parquet in the shared folder and read again, so a lost executor costs tasks of one stage.
-Rows with a null id are kept by stages that decide by a join on ids.
+Decisions are made row by row: rows with equal or null ids, or equal in all columns, are rows of their own.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm import decontamination, language_id, near_dup, packing, toxicity
-from folioframe.llm.shared import saved, work_dir
+from folioframe.llm import decontamination, files, language_id, near_dup, packing, toxicity
+from folioframe.llm.shared import numbered, saved, work_dir
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A document stays if its most likely language has at least this probability.
@@ -22,10 +22,9 @@ LEAST_LANGUAGE = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those whose language is in doubt."""
     docs = docs.select(*COLUMNS)
-    model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"), 5)))
-    predict = language_id.predictor(docs, model)
-    scored = docs.select(*COLUMNS, predict("text").alias("p"))
-    return scored.where((F.col("p.lang") != language_id.UNKNOWN) & (F.col("p.score") >= LEAST_LANGUAGE)).select(*COLUMNS)
+    models = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"), 5)))
+    scored = language_id.predict(docs, models, lang="__lang", score="__score")
+    return scored.where((F.col("__lang") != language_id.UNKNOWN) & (F.col("__score") >= LEAST_LANGUAGE)).select(*COLUMNS)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,18 +36,17 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones stays: the one with the least id."""
-    docs = docs.select(*COLUMNS)
-    groups = near_dup.similar_components(docs)
-    drop = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return docs.join(drop, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each group of similar ones stays: that with the least id, and of equal ids the first one stored."""
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__file", "__row")
+    docs = numbered(docs.select(*COLUMNS), "__file", "__row").withColumn("__key", row)
+    groups = near_dup.similar_components(docs, "__key")
+    dropped = files.row_set(groups.where(F.col("__key") != F.col("component_id")).select("__key.__file", "__key.__row"), "__file", "__row")
+    return docs.where(~dropped(F.col("__file"), F.col("__row"))).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
-    docs = docs.select(*COLUMNS)
-    hits = decontamination.find_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(hits.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    return decontamination.without_items(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
