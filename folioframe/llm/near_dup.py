@@ -5,7 +5,9 @@ sequence as one; no words: empty). Two documents link when 100 * |A & B| >= 80 *
 
 1. One pass hashes each text's set to a class; equal sets are one class from here on, so copies
    cost nothing more. The same pass counts frequent shingles by lossy counting.
-2. A second pass emits PartEnum signatures (partenum.py) of each class, packed by signature range.
+2. A second pass emits PartEnum signatures (partenum.py) of each class, packed by signature range; ranges are as many as bound their
+   size. Classes that share a signature within a task are linked to the least of them there, and that one alone goes on, so a very common
+   signature is one entry of each task.
 3. Classes that share a signature form candidate edges, their components candidate groups.
 4. The sets of those classes alone are gathered by group, in blocks of bounded size that meet pair
    by pair, and every link is decided by exact set sizes. Inside a block pair a class is compared with
@@ -36,6 +38,10 @@ LOCAL_COMMON, MOST_COMMON = 4, 200_000
 FLUSH = 1_000_000
 #: Shingles and classes of a block; two blocks meet in one task.
 BLOCK_SHINGLES, BLOCK_CLASSES = 1_000_000, 2_000
+#: Groups of so many classes at least may be broadcast.
+HOT_MEMBERS = 256
+#: Shingles of the texts whose signatures make up a range (about 0.6 signatures each, of 16 bytes).
+RANGE_SHINGLES = 4_000_000
 
 
 def _batches(batches: Iterator[pa.RecordBatch], flush: int = FLUSH) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
@@ -90,18 +96,36 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _stars(sig: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct signatures in order, the least class of each, and distinct edges (rows a, b) from each other class there to it."""
+    order = np.lexsort((cls, sig))
+    sig, cls = sig[order], cls[order]
+    start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
+    least = np.repeat(cls[start], np.diff(np.append(start, len(sig))))
+    at = np.flatnonzero(cls != least)
+    edges = np.unique(np.stack([cls[at], least[at]], axis=1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
+    return sig[start], cls[start], edges
+
+
 def _signature_blobs(common_of, parts: int):
+    """(part, blob): signatures of a range with a class of each, and edges found already, dealt over the same ranges."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = partenum.Common(common_of.value.view(U64))
         for _, value, first, classes in _batches(batches):
             value, first, classes = _once(value, first, classes)
             sig, of = partenum.signatures(value, first, common)
-            part = (sig >> U64(40)).astype(np.int64) * parts >> 24
-            order = np.argsort(part, kind="stable")
-            sig, of, part = sig[order], classes[of[order]], part[order]
-            edge = np.searchsorted(part, np.arange(parts + 1))
-            full = np.flatnonzero(np.diff(edge))
-            blobs = [sig[edge[p] : edge[p + 1]].tobytes() + of[edge[p] : edge[p + 1]].tobytes() for p in full]
+            sig, cls, edges = _stars(sig, classes[of])
+            bound = np.array([-(-(p << 64) // parts) for p in range(parts)], U64)
+            cut = np.append(np.searchsorted(sig, bound), len(sig))
+            range_of = np.searchsorted(bound, edges[:, 0].view(U64), side="right") - 1
+            edges = edges[np.argsort(range_of, kind="stable")]
+            cut_edges = np.searchsorted(np.sort(range_of), np.arange(parts + 1))
+            full = np.flatnonzero((np.diff(cut) > 0) | (np.diff(cut_edges) > 0))
+            blobs = [
+                np.int64(cut[p + 1] - cut[p]).tobytes() + sig[cut[p] : cut[p + 1]].tobytes() + cls[cut[p] : cut[p + 1]].tobytes() + edges[cut_edges[p] : cut_edges[p + 1]].tobytes()
+                for p in full
+            ]
             yield pa.record_batch([pa.array(full.astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "blob"])
 
     return run
@@ -109,18 +133,14 @@ def _signature_blobs(common_of, parts: int):
 
 def _bucket_edges(table: pa.Table) -> pa.Table:
     """Edges from each class of a signature to the least one there, for one range of signatures."""
-    sigs, of = [], []
+    sigs, of, known = [], [], []
     for blob in table["blob"].to_pylist():
-        half = len(blob) // 16
-        sigs.append(np.frombuffer(blob, U64, half))
-        of.append(np.frombuffer(blob, np.int64, half, 8 * half))
-    sig, cls = np.concatenate(sigs), np.concatenate(of)
-    order = np.lexsort((cls, sig))
-    sig, cls = sig[order], cls[order]
-    start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-    least = np.repeat(cls[start], np.diff(np.concatenate([start, [len(sig)]])))
-    at = np.flatnonzero(cls != least)
-    pairs = np.unique(np.stack([cls[at], least[at]], axis=1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
+        n = int(np.frombuffer(blob, np.int64, 1)[0])
+        sigs.append(np.frombuffer(blob, U64, n, 8))
+        of.append(np.frombuffer(blob, np.int64, n, 8 + 8 * n))
+        known.append(np.frombuffer(blob, np.int64, -1, 8 + 16 * n).reshape(-1, 2))
+    _, _, edges = _stars(np.concatenate(sigs), np.concatenate(of))
+    pairs = np.unique(np.concatenate([edges, *known]), axis=0)
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
@@ -185,6 +205,14 @@ def _verify(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"a": classes[at], "b": to[at], "final": pa.array([one] * int(at.sum()), pa.bool_())})
 
 
+def _with_root(rows: DataFrame, roots: DataFrame, members: str) -> DataFrame:
+    """rows joined with the row of their root. Roots with more than a ten-thousandth of all rows are broadcast (ten thousand at most), so that none is one task's key."""
+    hot = max(HOT_MEMBERS, (roots.agg(F.sum(members)).first()[0] or 0) // 10_000)
+    large = F.broadcast(roots.where(F.col(members) > hot))
+    rest = rows.join(large.select("root"), "root", "left_anti").join(roots.where(F.col(members) <= hot), "root")
+    return rows.join(large, "root").unionByName(rest)
+
+
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, class_id, component_id) of each row of docs.
 
@@ -202,20 +230,22 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     common_of = spark.sparkContext.broadcast(common["shingle"].to_numpy())
 
-    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shingles = described.agg(F.sum("n")).first()[0] or 0
+    parts = max(8, -(-shingles // RANGE_SHINGLES))
     blobs = rows.mapInArrow(_signature_blobs(common_of, parts), "part int, blob binary")
-    edges = blobs.groupBy("part").applyInArrow(_bucket_edges, "a bigint, b bigint")
+    edges = blobs.repartition(2 * parts, "part").groupBy("part").applyInArrow(_bucket_edges, "a bigint, b bigint")
     groups = saved(components(edges, f"{path}/candidates"), f"{path}/groups")
 
     classes = described.where("n > 0").groupBy("class").agg(F.min("id").alias("least_id"), F.max("n").alias("n"))
     sized = groups.join(classes.select(F.col("class").alias("node"), "n"), "node")
-    blocks = sized.groupBy("root").agg(
-        F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK_CLASSES)).cast("int").alias("blocks")
-    )
+    blocks = saved(sized.groupBy("root").agg(
+        F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK_CLASSES)).cast("int").alias("blocks"),
+        F.count("*").alias("members"),
+    ), f"{path}/sizes")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.expr("sequence(0, blocks - 1)"))
     tasks = (
-        groups.join(blocks, "root")
+        _with_root(groups, blocks, "members")
         .select("root", "node", "blocks", mine.alias("m"), other.alias("o"))
         .where("blocks = 1 or m <> o")
         # Where there are several blocks, pairs are numbered from (1, 2): (0, 0) says that a group has one.
@@ -238,8 +268,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if not open_links.isEmpty():
         done = done.union(components(open_links, f"{path}/blocks"))
     reached = done.join(classes.select(F.col("class").alias("node"), "least_id"), "node")
-    least = reached.groupBy("root").agg(F.min("least_id").alias("component"))
-    linked = done.join(least, "root").select(F.col("node").alias("class"), "component")
+    least = saved(reached.groupBy("root").agg(F.min("least_id").alias("component"), F.count("*").alias("members")), f"{path}/least")
+    linked = _with_root(done, least, "members").select(F.col("node").alias("class"), "component")
     # A table of its own: the join below then deals both sides for itself alone, and a class with very many copies can be split.
     by_class = saved(
         classes.join(linked, "class", "left").select("class", F.coalesce("component", "least_id").alias("component")), f"{path}/by-class"

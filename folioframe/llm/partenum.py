@@ -3,14 +3,16 @@
 Two sets of sizes s <= t with Jaccard similarity of 4/5 or more have t <= 5s/4 and differ in at
 most (s + t) / 9 elements. Sets are dealt into size bands; a pair belongs to the band of its larger
 set, so a set takes part in its own band and, near the upper edge, in the next one. A band splits the
-feature domain into N partitions by a hash of the element; a set's projections onto them are its N
-candidate signatures.
-
-* At most k = s // 4 partitions of a set can differ from any partner's, so at least N - k are equal.
-  Under one total order of signatures, the first k + 1 of either set then share a signature (the
-  prefix lemma): those k + 1 are emitted, the rest enumerates nothing new.
-* The order puts signatures with many elements first that are not in `common` (a set of very
-  frequent shingles), so passages that many texts share seldom form a signature. Any
+feature domain twice by a hash of the element: into N first-level partitions, and each of these into SECOND second-level ones.
+
+* Of each first-level partition the subsets of all second-level partitions but one are enumerated; the projection of
+  a set onto such a subset is a signature, SECOND * N of them.
+* A partition with no differing element gives SECOND equal signatures, one with a single differing element still gives
+  one, and k = s // 4 elements at most can differ from any partner's. So at least 3N - 2k signatures are equal (2N - k if k > N), of 3N. N is
+  over k / 2 for every size of the band, so there always is one.
+* Under one total order of signatures, the first 3N - m + 1 of either set then share one, where m is that
+  least number of equal ones (the prefix lemma): those are emitted. The order puts signatures with many elements first that are not in
+  `common` (a set of very frequent shingles), so passages that many texts share seldom form a signature. Any
   `common` gives the same result; it only decides how many false candidates there are.
 * Where the sizes sum to 17 or less the bound is one element, so the enumeration is complete over
   single elements: the smaller set emits its whole, the larger each subset lacking one element.
@@ -25,8 +27,8 @@ from folioframe.llm.kernels import U64, mix
 
 #: Sizes from which the general scheme's bands start; each band is twice as wide as the one before.
 FIRST = 9
-#: Partitions of a band, as a share of its smallest size.
-PARTS = 0.62
+#: Second-level partitions; one of them may differ.
+SECOND = 3
 
 
 def band(size: np.ndarray) -> np.ndarray:
@@ -35,8 +37,15 @@ def band(size: np.ndarray) -> np.ndarray:
 
 
 def band_parts(b: np.ndarray) -> np.ndarray:
-    low = FIRST << b
-    return np.maximum((2 * low - 1) // 4 + 1, np.ceil(PARTS * low).astype(np.int64))
+    """First-level partitions: more than half of what differs at most from a set of the band's largest size."""
+    return (2 * (FIRST << b) - 1) // 4 // 2 + 1
+
+
+def emitted(size: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """How many of the SECOND * parts signatures a set of this size must emit."""
+    k = size // 4
+    equal = np.where(k <= parts, SECOND * parts - (SECOND - 1) * k, 2 * parts - k)
+    return SECOND * parts - equal + 1
 
 
 class Common:
@@ -87,18 +96,22 @@ def signatures(value: np.ndarray, first: np.ndarray, common: Common) -> tuple[np
             h = value[element]
             member = np.repeat(np.arange(len(which)), n)
             spread = mix(h + U64(0x51ED270B) * (bands[member] + 1).astype(U64))
-            slot = base[member] + ((spread >> U64(32)) * parts[member].astype(U64) >> U64(32)).astype(np.int64)
-            acc = np.zeros(base[-1], U64)
+            slot = (base[member] + ((spread >> U64(32)) * parts[member].astype(U64) >> U64(32)).astype(np.int64)) * SECOND + (spread % U64(SECOND)).astype(np.int64)
+            cells = base[-1] * SECOND
+            acc = np.zeros(cells, U64)
             np.add.at(acc, slot, spread)
-            count = np.bincount(slot, minlength=base[-1])
-            rare = count - np.bincount(slot[common(h)], minlength=base[-1])
-            owner = np.repeat(np.arange(len(which)), parts)
-            part = np.arange(base[-1]) - base[owner]
+            count = np.bincount(slot, minlength=cells)
+            rare = count - np.bincount(slot[common(h)], minlength=cells)
+            # All second-level partitions of a first-level one, less one each.
+            less = lambda x: (x.reshape(-1, SECOND).sum(axis=1, dtype=x.dtype)[:, None] - x.reshape(-1, SECOND)).reshape(-1)
+            acc, count, rare = less(acc), less(count), less(rare)
+            owner = np.repeat(np.arange(len(which)), parts * SECOND)
+            part = np.arange(cells) - base[owner] * SECOND
             sig = mix(acc + mix((part + 1).astype(U64) * U64(1 << 20) + (bands[owner] + 1).astype(U64)))
             order = np.argsort(sig, kind="stable")
             rank = (owner << 22) | ((2047 - np.minimum(rare, 2047)) << 11) | (2047 - np.minimum(count, 2047))
             order = order[np.argsort(rank[order], kind="stable")]
-            keep = np.arange(base[-1]) - base[owner] < (n // 4 + 1)[owner]  # order is by owner first
+            keep = part < emitted(n, parts)[owner]  # order is by owner first
             got.append(sig[order[keep]])
             of.append(which[owner[keep]])
     if not got:

@@ -278,6 +278,37 @@ def test_components_against_brute_force(spark, monkeypatch, blocks):
     assert near_dup.similar_components(docs.limit(0)).count() == 0
 
 
+def test_one_passage_in_all_documents(spark, monkeypatch):
+    """A passage that every text shares, exact copies and near ones: components are those of brute force."""
+    monkeypatch.setattr(near_dup, "HOT_MEMBERS", 3)
+    rng = np.random.default_rng(9)
+    passage = " ".join(f"p{k}" for k in range(60))
+    texts = [f"{' '.join(f'u{x}' for x in rng.integers(0, 400, int(rng.integers(5, 90))))} {passage}" for _ in range(150)] + [passage] * 5
+    texts += [t + " end" for t in texts[:30]] + texts[:10]
+    sets = [shingle_set(t) for t in texts]
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.similar_components(table(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_components(sets, list(range(len(texts))))
+
+
+def test_enumeration_leaves_one_signature_whatever_differs():
+    """The least number of equal signatures, over all ways to deal k differing elements, is what `emitted` counts on."""
+    for parts in (1, 2, 3, 5):
+        for k in range(0, 2 * parts):
+            worst = parts * 3
+
+            def least(left, p):
+                if p == 0:
+                    return 0 if left >= 0 else 99
+                return min(x + least(left - d, p - 1) for d, x in ((0, 3), (1, 1), (2, 0)) if d <= left)
+
+            worst = least(k, parts)
+            assert partenum.emitted(np.array([4 * k]), np.array([parts]))[0] == 3 * parts - worst + 1
+    for b in range(8):
+        size = np.arange(9 << b, 18 << b)
+        parts = np.full(len(size), partenum.band_parts(np.array([b]))[0])
+        assert (partenum.emitted(size, parts) <= 3 * parts).all() and (size // 4 < 2 * parts).all()
+
+
 def test_graph_components(spark):
     chain = [(i, i + 1) for i in range(50)] + [(100, 100), (7, 3), (3, 7), (60, 61)]
     edges = spark.createDataFrame(chain, "a bigint, b bigint")
