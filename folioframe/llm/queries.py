@@ -53,7 +53,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES).withColumn("score", F.round("score", 6))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +88,47 @@ def _shingles(table: str, key: str) -> str:
 _BASE32 = """array_to_string(list_transform(range(0, 32), lambda k:
 substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * (k // 4)::INT, 5))::BIGINT >> (5 * (3 - k % 4))::INT) & 31)::INT, 1)), '')"""
 
+_REST = "substr(url, instr(url, '://') + 3)"
+_UP, _LOW = f"'{url_filter._UPPER}'", f"'{url_filter._LOWER}'"
+_FIT = " ".join(
+    f"WHEN (host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '/{rest}') THEN ['{name}/{rest}', '{verdict}']"
+    for verdict, (name, _, rest) in sorted(((v, r.partition("/")) for v, r in URL_RULES), key=lambda x: -len("".join(x[1])))
+)
+
+
+def _log_p(kind: str) -> str:
+    lowest = f"(c_{kind} + 1) / (n_{kind} + {url_filter.SIZE})"
+    middle = f"(bc_{kind} + {url_filter.KAPPA} * ({lowest})) / (b_{kind} + {url_filter.KAPPA})"
+    return f"ln((abc_{kind} + {url_filter.KAPPA} * ({middle})) / (ab_{kind} + {url_filter.KAPPA}))"
+
+
+#: The models, the calibration and the verdicts; grams are strings here, and those that no example has are looked up by their parts.
+_URL_FILTER = f"""
+WITH p AS (SELECT page_id, url, instr(url, '://') > 0 AS whole FROM pages),
+q AS (SELECT row_number() OVER () AS r, page_id, CASE WHEN whole THEN translate(regexp_extract({_REST}, '^([^/?#]*)', 1), {_UP}, {_LOW}) ELSE '' END AS host,
+ CASE WHEN whole THEN regexp_extract({_REST}, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path, coalesce(CASE WHEN whole THEN {_REST} ELSE url END, '') AS text FROM p),
+s AS (SELECT r, page_id, host, path, CASE {_FIT} END AS fit,
+ translate(regexp_replace(regexp_replace(translate(text, {_UP}, {_LOW}), '[^a-z0-9./-]', '_', 'g'), '[0-9]', '0', 'g'), '{url_filter.ALPHABET[1:]}', '{url_filter.DIGITS[1:]}') AS t FROM q),
+x AS MATERIALIZED (SELECT *, fit[2] = 'allow' AS good, fit IS NOT NULL AND ('0x' || substr(md5(t), 1, 4))::INT % 5 = 0 AS aside FROM s),
+g AS MATERIALIZED (SELECT r, fit IS NOT NULL AND NOT aside AS taught, good, unnest(list_transform(range(1, length(t) + 1), lambda i: substr('00' || t, i, 3))) AS k FROM x),
+abc AS MATERIALIZED (SELECT k, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE NOT good) AS bad FROM g WHERE taught GROUP BY k),
+n AS (SELECT coalesce(sum(good), 0) AS good, coalesce(sum(bad), 0) AS bad FROM abc), ab AS (SELECT left(k, 2) AS k, sum(good) AS good, sum(bad) AS bad FROM abc GROUP BY 1),
+bc AS (SELECT right(k, 2) AS k, sum(good) AS good, sum(bad) AS bad FROM abc GROUP BY 1), b AS (SELECT substr(k, 2, 1) AS k, sum(good) AS good, sum(bad) AS bad FROM abc GROUP BY 1),
+c AS (SELECT right(k, 1) AS k, sum(good) AS good, sum(bad) AS bad FROM abc GROUP BY 1),
+met AS (SELECT d.k, {", ".join(f"coalesce({t}.{k}, 0)::DOUBLE AS {t}_{k}" for t in ("abc", "ab", "bc", "b", "c", "n") for k in ("good", "bad"))}
+ FROM (SELECT DISTINCT k FROM g) d CROSS JOIN n LEFT JOIN abc ON abc.k = d.k LEFT JOIN ab ON ab.k = left(d.k, 2) LEFT JOIN bc ON bc.k = right(d.k, 2) LEFT JOIN b ON b.k = substr(d.k, 2, 1) LEFT JOIN c ON c.k = right(d.k, 1)),
+model AS (SELECT k, CASE WHEN n_good > 0 AND n_bad > 0 THEN {_log_p("good")} - {_log_p("bad")} ELSE 0 END AS ratio FROM met),
+score AS MATERIALIZED (SELECT r, sum(ratio) / count(*) AS score FROM g JOIN model USING (k) GROUP BY r),
+y AS MATERIALIZED (SELECT x.*, coalesce(score, 0) AS score FROM x LEFT JOIN score USING (r)),
+bin AS (SELECT greatest(-{url_filter.BINS}, least({url_filter.BINS}, floor(score * 100))) AS bin, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE NOT good) AS bad FROM y WHERE aside GROUP BY 1),
+cost AS (SELECT bin / 100 AS edge, coalesce(sum(good) OVER before, 0) / greatest(sum(good) OVER (), 1) + (sum(bad) OVER () - coalesce(sum(bad) OVER before, 0)) / greatest(sum(bad) OVER (), 1) AS cost
+ FROM bin WINDOW before AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+edge AS (SELECT coalesce((SELECT edge FROM cost ORDER BY cost, abs(edge) LIMIT 1), 0) AS edge)
+SELECT page_id, host, path, fit[1] AS rule, coalesce(fit[2], CASE WHEN score >= edge THEN 'allow' ELSE 'block' END) AS verdict, round(score, 6) AS score FROM y CROSS JOIN edge
+"""
+
 ORACLE_SQL = {
+    "op8_url_filter": _URL_FILTER,
     "op1_warc": f"""
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
 f AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h)

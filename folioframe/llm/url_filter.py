@@ -8,7 +8,7 @@ order in effect varies with how often a context was seen. A URL's score is the d
 log-likelihoods divided by its symbols.
 
 The alphabet has 32 symbols, so the table of log-ratios has 32,768 entries whatever the corpus; it and the
-threshold are scalar subqueries. The threshold is calibrated on a fifth of the decided URLs (by crc32) that
+threshold are scalar subqueries. The threshold is calibrated on a fifth of the decided URLs (by MD5) that
 training leaves out: the bin edge with the least sum of error rates. Counting grams is a hash
 aggregation with map-side combine over at most 65,536 keys.
 
@@ -24,9 +24,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Symbols by number: the start, the letters, all digits, and the rest.
+#: Symbols by number: the start, the letters, all digits, and the rest. Texts are written with the digit of base 32 for each.
 ALPHABET = "^abcdefghijklmnopqrstuvwxyz0./-_"
 SIZE = len(ALPHABET)
+DIGITS = "0123456789abcdefghijklmnopqrstuv"
 KAPPA = 4.0
 #: Score bins of the calibration: a hundredth each, from -BINS to BINS.
 BINS = 1000
@@ -60,46 +61,40 @@ def text_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.substr(url, F.instr(url, "://") + 3)).otherwise(url)
 
 
-def symbols(host: Column, path: Column) -> Column:
-    text = F.translate(F.concat(host, path), _UPPER, _LOWER)
-    return F.regexp_replace(F.regexp_replace(text, r"[^a-z0-9./-]", "_"), r"[0-9]", "0")
+def symbols(url: Column) -> Column:
+    """The symbols of a url as digits of base 32."""
+    text = F.regexp_replace(F.translate(url, _UPPER, _LOWER), r"[^a-z0-9./-]", "_")
+    return F.translate(F.regexp_replace(text, r"[0-9]", "0"), ALPHABET[1:], DIGITS[1:])
 
 
-def gram_codes(text: Column) -> Column:
-    """The number of each symbol with the two before it, as an array of ints."""
-    code = lambda c: F.instr(F.lit(ALPHABET), c) - 1
-    start = F.struct(F.lit(0).alias("state"), F.expr("cast(array() as array<int>)").alias("codes"))
-    # State: the last two symbols, as a number.
-    step = lambda s, c: F.struct(
-        (s["state"] % SIZE * SIZE + code(c)).alias("state"), F.array_append(s["codes"], s["state"] * SIZE + code(c)).alias("codes")
-    )
-    return F.aggregate(_characters(text), start, step, lambda s: s["codes"])
+def grams(text: Column) -> Column:
+    """Each symbol with the two before it, as three digits: found by the regex engine, so no expression runs for each character."""
+    return F.regexp_extract_all(F.concat(F.lit(DIGITS[0] * 2), text), F.lit("(?=(...))"), F.lit(1))
 
 
-def _characters(text: Column) -> Column:
-    return F.when(F.length(text) > 0, F.split(text, "")).otherwise(F.expr("cast(array() as array<string>)"))
+def code_of(gram: Column) -> Column:
+    return F.conv(gram, SIZE, 10).cast("int")
 
 
 def log_ratios(decided: DataFrame) -> DataFrame:
     """One row `model`: log p(accepted) - log p(rejected) of each gram code, from rows (text, accepted boolean)."""
     spark = decided.sparkSession
-    grams = decided.select("accepted", F.explode(gram_codes(F.col("text"))).alias("code"))
-    counts = grams.groupBy("code").agg(
+    seen = decided.select("accepted", F.explode(grams(F.col("text"))).alias("gram"))
+    counts = seen.groupBy(code_of(F.col("gram")).alias("code")).agg(
         F.count_if("accepted").cast("double").alias("good"), F.count_if(~F.col("accepted")).cast("double").alias("bad")
     )
     grid = spark.range(0, SIZE**3, 1, 1).select(F.col("id").cast("int").alias("code")).join(F.broadcast(counts), "code", "left").na.fill(0.0)
     code = F.col("code")
     sums = {
-        "abc": None,
         "ab": Window.partitionBy(F.floor(code / SIZE)),
         "bc": Window.partitionBy(code % (SIZE * SIZE)),
         "b": Window.partitionBy(F.floor(code / SIZE) % SIZE),
         "c": Window.partitionBy(code % SIZE),
+        "n": Window.partitionBy(F.lit(0)),
     }
-    for kind in ("good", "bad"):
-        for name, window in sums.items():
-            grid = grid.withColumn(f"{kind}_{name}", F.sum(kind).over(window) if window is not None else F.col(kind))
-        grid = grid.withColumn(f"{kind}_n", F.sum(kind).over(Window.partitionBy(F.lit(0))))
+    kinds = ("good", "bad")
+    # Over the grid alone, whose size is fixed.
+    grid = grid.select("code", *(F.col(k).alias(f"{k}_abc") for k in kinds), *(F.sum(k).over(window).alias(f"{k}_{name}") for name, window in sums.items() for k in kinds))
 
     def log_p(kind: str) -> Column:
         p = (F.col(f"{kind}_c") + 1) / (F.col(f"{kind}_n") + SIZE)
@@ -114,14 +109,7 @@ def log_ratios(decided: DataFrame) -> DataFrame:
 
 def score(text: Column, model: Column) -> Column:
     """Mean log-ratio of the symbols of text; 0 for empty text. model: array<double> by gram code."""
-    code = lambda c: F.instr(F.lit(ALPHABET), c) - 1
-    start = F.struct(F.lit(0).alias("state"), F.lit(0.0).alias("sum"), model.alias("model"))
-    step = lambda s, c: F.struct(
-        (s["state"] % SIZE * SIZE + code(c)).alias("state"),
-        (s["sum"] + F.get(s["model"], s["state"] * SIZE + code(c))).alias("sum"),
-        s["model"].alias("model"),
-    )
-    total = F.aggregate(_characters(text), start, step, lambda s: s["sum"])
+    total = F.aggregate(grams(text), F.lit(0.0), lambda total, gram: total + F.get(model, code_of(gram)))
     return F.when(F.length(text) > 0, total / F.length(text)).otherwise(F.lit(0.0))
 
 
@@ -143,9 +131,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "pag
     parts = pages.select(
         F.col(id_col).alias("id"), F.coalesce(host_of(url), F.lit("")).alias("host"), F.coalesce(path_of(url), F.lit("")).alias("path"), F.coalesce(text_of(url), F.lit("")).alias("whole")
     )
-    rows = parts.select("id", "host", "path", rule_of(F.col("host"), F.col("path"), rules).alias("fit"), symbols(F.col("whole"), F.lit("")).alias("text"))
+    rows = parts.select("id", "host", "path", rule_of(F.col("host"), F.col("path"), rules).alias("fit"), symbols(F.col("whole")).alias("text"))
     decided = rows.where("fit is not null").select("text", (F.col("fit.verdict") == "allow").alias("accepted"))
-    aside = F.crc32(F.col("text").cast("binary")) % 5 == 0
+    aside = F.conv(F.left(F.md5(F.col("text").cast("binary")), F.lit(4)), 16, 10).cast("int") % 5 == 0
     # A subquery may not stand inside a higher-order function, so the model is a column first.
     model = log_ratios(decided.where(~aside)).scalar().alias("model")
     tried = decided.where(aside).select("*", model).select("accepted", score(F.col("text"), F.col("model")).alias("score"))
