@@ -1,17 +1,23 @@
 """License scans: a paragraph classifier trained on licence texts, confirmed by comparison with them.
 
 A paragraph is a line with a word. Its features are its words and word pairs (runs of letters, digits, dots and
-hyphens, lower-cased) hashed to BUCKETS and counted, divided by the root of their number. A multinomial logistic regression over the licence families
+hyphens, lower-cased) hashed to BUCKETS and counted, divided by the root of their number; features that no template has count as one,
+OTHER. A multinomial logistic regression over the licence families
 and `unknown` is fitted on variants of the templates (windows, words dropped, holders and years added) and on
-paragraphs that no template resembles, up to PER_DOCUMENT (chosen by a hash from the whole text) of up to about BACKGROUND documents. Its probabilities are calibrated by a
-temperature fitted on a part of the rows left out of training; below LEAST a paragraph is unknown. A prediction is confirmed if
-the paragraph's word pairs are contained in the family's templates, or a template's in it, by SIMILAR or more.
+paragraphs that no template resembles, up to PER_DOCUMENT (chosen by a hash from the whole text) of up to about BACKGROUND documents; only lines
+of 10 to 1,500 characters are taken for that. Its probabilities are calibrated by a
+temperature: of FOLDS fits each leaves out a part of the templates, with all their variants, and of the background, and is asked about
+that part; the model itself is then fitted on all. Below LEAST a paragraph is unknown.
 
-The model (families x BUCKETS floats, under 3 MB) and the templates are broadcast; both are independent of the corpus. Every
+A prediction is confirmed if the paragraph's word pairs are contained in one of the family's templates, or such a template's in the paragraph, by SIMILAR
+or more, each pair weighted by how few families have it, and no other family's template is closer. So `the terms of the` says little, and
+the name of a licence that isn't known here says that it is none of these. A paragraph of up to three words is compared with identifiers word by word.
+
+The model (families x features, under 1 MB) and the templates are broadcast; both are independent of the corpus. Every
 paragraph of every text is scored whole, one-word paragraphs and those without a template's word included.
 
-Edge cases: null and blank texts have no paragraphs; repeated lines are paragraphs of their own; without background the unknown class
-is learnt from shuffled template words alone; empty tables give no rows; other columns are ignored.
+Edge cases: null and blank texts have no paragraphs; repeated lines are paragraphs of their own; rows with equal ids are scanned each; without background the unknown class
+is learnt from shuffled template words alone; empty tables give no rows; other columns are ignored; long texts and lines are scanned whole.
 """
 
 from __future__ import annotations
@@ -26,52 +32,115 @@ from pyspark.sql import functions as F
 from folioframe.llm import kernels
 
 BUCKETS = 1 << 16
-BACKGROUND, PER_DOCUMENT = 400, 30
+BACKGROUND, PER_DOCUMENT = 400, 10
 LEAST, SIMILAR = 0.5, 0.6
+FOLDS = 4
 UNKNOWN = "unknown"
 
-#: Notices and sentences by which these licences are stated or known.
-TEMPLATES: dict[str, tuple[str, ...]] = {
+#: Identifiers, notices and sentences by which these licences are stated or known.
+IDENTIFIERS: dict[str, tuple[str, ...]] = {
+    "apache": ("Apache-2.0", "Apache License 2.0"),
+    "mit": ("MIT", "MIT License"),
+    "gpl": ("GPL-2.0", "GPL-3.0", "GPL-2.0-only", "GPL-3.0-or-later", "GPLv2", "GPLv3", "GNU GPL"),
+    "lgpl": ("LGPL-2.1", "LGPL-3.0", "LGPLv2.1", "LGPLv3", "GNU LGPL"),
+    "agpl": ("AGPL-3.0", "AGPL-3.0-or-later", "AGPLv3", "GNU AGPL"),
+    "bsd": ("BSD-2-Clause", "BSD-3-Clause", "BSD License"),
+    "isc": ("ISC", "ISC License"),
+    "zlib": ("Zlib", "zlib License"),
+    "boost": ("BSL-1.0", "Boost Software License"),
+    "mpl": ("MPL-2.0", "Mozilla Public License 2.0"),
+    "epl": ("EPL-2.0", "Eclipse Public License 2.0"),
+    "artistic": ("Artistic-2.0", "Artistic License 2.0"),
+    "unlicense": ("Unlicense", "The Unlicense"),
+    "cc0": ("CC0-1.0", "CC0", "CC0 1.0 Universal"),
+    "cc-by": ("CC-BY-4.0", "CC BY 4.0", "CC BY 3.0"),
+    "cc-by-sa": ("CC-BY-SA-4.0", "CC BY-SA 4.0", "CC BY-SA 3.0"),
+    "cc-by-nd": ("CC-BY-ND-4.0", "CC BY-ND 4.0"),
+    "cc-by-nc": ("CC-BY-NC-4.0", "CC BY-NC 4.0", "CC BY-NC 3.0"),
+    "cc-by-nc-sa": ("CC-BY-NC-SA-4.0", "CC BY-NC-SA 4.0"),
+    "cc-by-nc-nd": ("CC-BY-NC-ND-4.0", "CC BY-NC-ND 4.0"),
+}
+SENTENCES: dict[str, tuple[str, ...]] = {
     "apache": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-        "SPDX-License-Identifier: Apache-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     ),
     "mit": (
         "Released under the MIT License.",
         "This project is licensed under the terms of the MIT license.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
-        "SPDX-License-Identifier: MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
     ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
+        "Licensed under the GNU General Public License, version 2.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "You should have received a copy of the GNU General Public License along with this program.",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
+    ),
+    "lgpl": (
+        "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
+    ),
+    "agpl": (
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
     ),
     "bsd": (
         "Released under the BSD 3-Clause License.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
-        "SPDX-License-Identifier: BSD-3-Clause",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     ),
-    "cc-by": (
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        "Licensed under CC BY-SA 4.0.",
+    "isc": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ),
-    "cc-by-nc": (
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-        "Licensed under CC BY-NC-SA 4.0.",
+    "zlib": (
+        "Released under the zlib License.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+        "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.",
+    ),
+    "boost": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license to use, reproduce, display, distribute, execute, and transmit the Software.",
     ),
     "mpl": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
         "Released under the Mozilla Public License 2.0.",
-        "SPDX-License-Identifier: MPL-2.0",
     ),
+    "epl": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+        "Released under the Eclipse Public License 2.0.",
+    ),
+    "artistic": (
+        "This library is free software; you may redistribute it and/or modify it under the terms of the Artistic License 2.0.",
+        "Licensed under the terms of the Artistic License.",
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    "cc0": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+        "This work is dedicated to the public domain under CC0 1.0 Universal.",
+    ),
+    "cc-by": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    "cc-by-sa": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Text is available under the Creative Commons Attribution-ShareAlike License."),
+    "cc-by-nd": ("Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    "cc-by-nc": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "cc-by-nc-sa": ("Licensed under CC BY-NC-SA 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    "cc-by-nc-nd": ("Licensed under CC BY-NC-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
 }
+#: How an identifier is stated; a template for each.
+STATEMENTS = ("SPDX-License-Identifier: {}", "Licensed under {}", "License: {}")
+TEMPLATES = {f: (*SENTENCES[f], *(s.format(i) for i in ids for s in STATEMENTS)) for f, ids in IDENTIFIERS.items()}
 FAMILIES = (*TEMPLATES, UNKNOWN)
 #: Bytes between words: ASCII that is no letter, digit, dot or hyphen.
 _GAPS = np.array([b < 128 and not (chr(b).isalnum() or chr(b) in ".-") for b in range(256)])
@@ -102,30 +171,64 @@ def paragraphs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return words.doc[start], line[start], np.concatenate([[0], np.cumsum(2 * n - 1)]), value[order], is_pair[order]
 
 
+def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts that are a paragraph each: first feature, hashes, whether a pair."""
+    _, _, first, value, is_pair = paragraphs(pa.array([t.replace("\n", " ") for t in texts], pa.large_string()))
+    return first, value, is_pair
+
+
+class Templates:
+    """The pairs of each template, and how much each pair counts."""
+
+    def __init__(self):
+        texts, families = zip(*((t, k) for k, ts in enumerate(TEMPLATES.values()) for t in ts), strict=True)
+        first, value, is_pair = _features(list(texts))
+        self.families = np.array(families)
+        self.pairs = [np.unique(value[a:b][is_pair[a:b]]) for a, b in zip(first[:-1], first[1:], strict=True)]
+        names, owners = zip(*((i, k) for k, ids in enumerate(IDENTIFIERS.values()) for i in ids), strict=True)
+        first, value, is_pair = _features(list(names))
+        self.names = {(value[a:b][~is_pair[a:b]].tobytes()): k for a, b, k in zip(first[:-1], first[1:], owners, strict=True)}
+        n = len(TEMPLATES)
+        known = [(p, f) for pairs, f in zip(self.pairs, families, strict=True) for p in pairs.tolist()]
+        holders: dict[int, set[int]] = {}
+        for p, f in known:
+            holders.setdefault(p, set()).add(f)
+        self.weight = {p: np.log(n / len(fs)) + 0.1 for p, fs in holders.items()}
+        self.unseen = np.log(n / 0.5) + 0.1
+        self.totals = [sum(self.weight[p] for p in pairs.tolist()) for pairs in self.pairs]
+
+    def similarities(self, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """How much of a paragraph stands in the closest template of each family, or of it in the paragraph, by weight."""
+        out = np.zeros(len(TEMPLATES))
+        if len(words) <= 3:
+            # A name alone, or behind a word such as `license`.
+            for k in range(len(words)):
+                family = self.names.get(words[k:].tobytes())
+                if family is not None:
+                    out[family] = 1.0
+                    return out
+        mine = {p: self.weight.get(p, self.unseen) for p in pairs.tolist()}
+        total = sum(mine.values())
+        for f, template, whole in zip(self.families.tolist(), self.pairs, self.totals, strict=True):
+            both = sum(mine[p] for p in template.tolist() if p in mine)
+            if both:
+                out[f] = max(out[f], both / min(total, whole))
+        return out
+
+
 class Scanner:
-    def __init__(self, weights: np.ndarray, bias: np.ndarray, temperature: float):
+    """weights: families x features; feature: the number of each bucket's feature (0: OTHER)."""
+
+    def __init__(self, weights: np.ndarray, bias: np.ndarray, temperature: float, feature: np.ndarray | None = None):
         self.weights, self.bias, self.temperature = weights.astype(np.float32), bias, temperature
-        self.templates = []
-        for texts in TEMPLATES.values():
-            for text in texts:
-                _, _, _, value, is_pair = paragraphs(pa.array([text], pa.large_string()))
-                self.templates.append((len(self.templates), list(TEMPLATES.values()).index(texts), np.unique(value[is_pair])))
+        self.feature = np.arange(BUCKETS) if feature is None else feature
+        self.templates = Templates()
 
     def probabilities(self, first: np.ndarray, value: np.ndarray) -> np.ndarray:
-        bucket = (value >> np.uint64(48)).astype(np.int64)
+        at = self.feature[(value >> np.uint64(48)).astype(np.int64)]
         scale = 1 / np.sqrt(np.maximum(np.diff(first), 1))
-        logits = np.stack([kernels.sums(w[bucket], first) * scale for w in self.weights], 1) + self.bias
-        logits = logits / self.temperature
-        e = np.exp(logits - logits.max(axis=1, keepdims=True))
-        return e / e.sum(axis=1, keepdims=True)
-
-    def similarity(self, family: int, pairs: np.ndarray) -> float:
-        best = 0.0
-        pairs = np.unique(pairs)
-        for _, f, template in self.templates:
-            if f == family and len(pairs) and len(template):
-                best = max(best, np.isin(pairs, template).sum() / min(len(pairs), len(template)))
-        return float(best)
+        logits = np.stack([kernels.sums(w[at], first) * scale for w in self.weights], 1) + self.bias
+        return _softmax(logits / self.temperature)
 
     def scan(self, texts: pa.Array) -> list[tuple[int, int, str, float, float, bool]]:
         """(text, line, family, probability, similarity, confirmed) of each paragraph that isn't unknown."""
@@ -135,75 +238,86 @@ class Scanner:
         p = self.probabilities(first, value)
         out = []
         for k in np.flatnonzero((p.argmax(axis=1) < len(FAMILIES) - 1) & (p.max(axis=1) >= LEAST)).tolist():
-            family = int(p[k].argmax())
-            span = slice(first[k], first[k + 1])
-            alike = self.similarity(family, value[span][is_pair[span]])
-            out.append((int(doc[k]), int(line[k]), FAMILIES[family], float(p[k, family]), alike, alike >= SIMILAR))
+            family, span = int(p[k].argmax()), slice(first[k], first[k + 1])
+            alike = self.templates.similarities(value[span][~is_pair[span]], np.unique(value[span][is_pair[span]]))
+            sure = alike[family] >= SIMILAR and alike[family] >= alike.max() - 1e-9
+            out.append((int(doc[k]), int(line[k]), FAMILIES[family], float(p[k, family]), float(alike[family]), bool(sure)))
         return out
 
 
-def _variants(rng: np.random.Generator) -> tuple[list[str], list[int]]:
-    texts, labels = [], []
+def _softmax(z: np.ndarray) -> np.ndarray:
+    e = np.exp(z - z.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def _variants(rng: np.random.Generator) -> tuple[list[str], list[int], list[int]]:
+    """Texts, their families, and the template that each is of (-1: none)."""
+    texts, labels, groups = [], [], []
     everything = " ".join(t for ts in TEMPLATES.values() for t in ts).split()
-    for k, ts in enumerate(TEMPLATES.values()):
-        for text in ts:
+    number = 0
+    for k, (family, ts) in enumerate(TEMPLATES.items()):
+        for text in (*IDENTIFIERS[family], *ts):
             words = text.split()
-            texts.append(text)
-            labels.append(k)
-            for _ in range(30):
+            for copy in range(12 if len(words) > 6 else 4):
                 w = list(words)
-                if len(w) > 8 and rng.random() < 0.5:
+                if copy and len(w) > 8 and rng.random() < 0.5:
                     n = int(rng.integers(6, len(w) + 1))
                     a = int(rng.integers(0, len(w) - n + 1))
                     w = w[a : a + n]
-                w = [x for x in w if len(w) < 7 or rng.random() > 0.08]
-                if rng.random() < 0.3:
+                w = [x for x in w if not copy or len(w) < 7 or rng.random() > 0.08]
+                if copy and rng.random() < 0.3:
                     w = ["Copyright", str(rng.integers(1995, 2026)), f"Holder{rng.integers(1000)}.", *w]
                 texts.append(" ".join(w))
                 labels.append(k)
+                groups.append(number)
+            number += 1
     for _ in range(300):
         texts.append(" ".join(rng.choice(everything, int(rng.integers(4, 20)))))
         labels.append(len(TEMPLATES))
-    return texts, labels
+        groups.append(-1)
+    return texts, labels, groups
 
 
-def fit(texts: list[str], labels: list[int], steps: int = 200, l2: float = 1e-4) -> Scanner:
-    """Full-batch Adam on four fifths of the rows, the temperature on the rest; deterministic."""
-    _, _, first, value, _ = paragraphs(pa.array([t.replace("\n", " ") for t in texts], pa.large_string()))
-    y = np.array(labels)
-    bucket = (value >> np.uint64(48)).astype(np.int64)
-    row = np.repeat(np.arange(len(y)), np.diff(first))
-    columns, col = np.unique(bucket, return_inverse=True)
-    x = 1 / np.sqrt(np.diff(first))[row]
-    aside = np.arange(len(y)) % 5 == 0
-    k = len(FAMILIES)
-    weight = np.zeros(len(y))
-    for c in range(k):
-        mine = (y == c) & ~aside
-        weight[mine] = 1 / max(1, mine.sum()) / k
-    w, b = np.zeros((k, len(columns))), np.zeros(k)
+def _optimum(x: np.ndarray, y: np.ndarray, k: int, steps: int, l2: float) -> tuple[np.ndarray, np.ndarray]:
+    """Full-batch Adam, every class weighted alike; deterministic."""
+    weight = 1 / np.maximum(np.bincount(y, minlength=k), 1)[y] / k
+    target = np.eye(k, dtype=np.float32)[y]
+    w, b = np.zeros((x.shape[1], k), np.float32), np.zeros(k)
     state = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(b), np.zeros_like(b)]
-
-    def logits() -> np.ndarray:
-        return np.stack([np.bincount(row, w[c][col] * x, minlength=len(y)) for c in range(k)], 1) + b
-
-    def probabilities(z: np.ndarray) -> np.ndarray:
-        e = np.exp(z - z.max(axis=1, keepdims=True))
-        return e / e.sum(axis=1, keepdims=True)
-
     for t in range(1, steps + 1):
-        g = (probabilities(logits()) - np.eye(k)[y]) * weight[:, None]
-        gw = np.stack([np.bincount(col, g[row, c] * x, minlength=len(columns)) for c in range(k)]) + l2 * w
-        for i, (p, grad) in enumerate(((w, gw), (b, g.sum(axis=0)))):
+        g = ((_softmax(x @ w + b) - target) * weight[:, None]).astype(np.float32)
+        for i, (p, grad) in enumerate(((w, x.T @ g + l2 * w), (b, g.sum(axis=0)))):
             m, v = state[2 * i], state[2 * i + 1]
             m += 0.1 * (grad - m)
             v += 0.001 * (grad * grad - v)
             p -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-10)
-    z = logits()[aside]
-    cost = {s: -np.log(np.maximum(probabilities(z / s)[np.arange(len(z)), y[aside]], 1e-9)).mean() for s in np.linspace(0.3, 3, 28)}
-    full = np.zeros((k, BUCKETS))
-    full[:, columns] = w
-    return Scanner(full, b, float(min(cost, key=cost.get)))
+    return w, b
+
+
+def fit(texts: list[str], labels: list[int], groups: list[int], steps: int = 120, l2: float = 1e-4) -> Scanner:
+    """The temperature from fits that each leave out a part of the templates, with all their variants, and of the other rows; the model from all rows."""
+    first, value, _ = _features(texts)
+    y, k = np.array(labels), len(FAMILIES)
+    bucket = (value >> np.uint64(48)).astype(np.int64)
+    row = np.repeat(np.arange(len(y)), np.diff(first))
+    feature = np.zeros(BUCKETS, np.int64)
+    known = np.unique(bucket[(y < k - 1)[row]])
+    feature[known] = np.arange(1, len(known) + 1)
+    x = np.zeros((len(y), len(known) + 1), np.float32)
+    np.add.at(x, (row, feature[bucket]), (1 / np.sqrt(np.diff(first)))[row])
+    group = np.array(groups)
+    fold = np.where(group >= 0, group, np.arange(len(y))) % FOLDS
+    z = np.zeros((len(y), k))
+    for f in range(FOLDS):
+        aside = fold == f
+        w, b = _optimum(x[~aside], y[~aside], k, steps, l2)
+        z[aside] = x[aside] @ w + b
+    # Every class weighs alike here too, or the many rows of background, which are easy, would set it.
+    share = 1 / np.bincount(y, minlength=k)[y]
+    cost = {s: -(share * np.log(np.maximum(_softmax(z / s)[np.arange(len(z)), y], 1e-9))).sum() for s in np.linspace(0.5, 6, 56)}
+    temperature = float(min(cost, key=cost.get))
+    w, b = _optimum(x, y, k, steps, l2)
+    return Scanner(w.T, b, temperature, feature)
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", background: int = BACKGROUND) -> Scanner:
@@ -214,17 +328,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", backg
     chosen = rows.where(F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
     # Only lines of up to 1,500 characters reach the driver, PER_DOCUMENT of a document at most, by a hash of their place and text: a bounded training sample.
     keyed = F.transform(F.split("text", "\n"), lambda x, i: F.struct(F.xxhash64(F.lit(13), i, x).alias("h"), x.alias("line")))
-    some = F.slice(F.array_sort(F.filter(keyed, lambda x: F.length(x["line"]).between(1, 1500))), 1, PER_DOCUMENT)
+    some = F.slice(F.array_sort(F.filter(keyed, lambda x: F.length(x["line"]).between(10, 1500))), 1, PER_DOCUMENT)
     lines = chosen.select("id", F.posexplode(some).alias("at", "x")).select("id", "at", "x.line")
-    got = [r["line"] for r in lines.orderBy("id", "at").select("line").limit(PER_DOCUMENT * background).collect()]
-    probe = Scanner(np.zeros((len(FAMILIES), BUCKETS)), np.zeros(len(FAMILIES)), 1.0)
-    texts, labels = _variants(np.random.default_rng(5))
+    got = [r["line"] for r in lines.orderBy("id", "at", "line").select("line").limit(PER_DOCUMENT * background).collect()]
+    templates = Templates()
+    texts, labels, groups = _variants(np.random.default_rng(5))
     for line in got:
-        _, _, _, value, is_pair = paragraphs(pa.array([line], pa.large_string()))
-        if len(value) and max(probe.similarity(f, value[is_pair]) for f in range(len(TEMPLATES))) < 0.3:
+        first, value, is_pair = _features([line])
+        if len(value) and templates.similarities(value[~is_pair], np.unique(value[is_pair])).max() < 0.3:
             texts.append(line)
             labels.append(len(TEMPLATES))
-    return fit(texts, labels)
+            groups.append(-1)
+    return fit(texts, labels, groups)
 
 
 def _scan(scanner_of):
