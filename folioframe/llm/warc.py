@@ -14,6 +14,8 @@ completed; a block shorter than its declared length is marked truncated. For eac
 * WARC-Type: warcinfo for the version block, response for a block that starts with an HTTP status line, else resource;
 * digests: SHA-1 in base32 of the block and, for a response, of the payload after the HTTP header.
 
+Legacy files in storage are converted by convert_archives; what is no header there is reported and skipped up to the next header.
+
 Archives are written by Spark's text writer: one value is one record as bytes, the line separator is the blank
 line pair that ends a WARC record, and files are gzip streams. Any file system that Spark writes to will do.
 
@@ -31,18 +33,19 @@ import io
 import re
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from typing import BinaryIO
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioframe.llm.shared import work_dir
 
 END = b"\r\n\r\n"
-RECORDS_A_FILE = 2_000
+#: A file has so many records at most, and fewer if they are long: about FILE_BYTES by their mean.
+RECORDS_A_FILE, FILE_BYTES = 2_000, 256_000_000
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _V1 = re.compile(rb"^(?P<url>.*) (?P<ip>\S+) (?P<date>\d{4,14}) (?P<type>.*?) (?P<length>\d+)$")
 _V2 = re.compile(
@@ -84,30 +87,56 @@ def arc_bytes(records: Iterable[ArcRecord], version: int = 1, name: str = "legac
     return bytes(out)
 
 
-def parse_arc(source: bytes | BinaryIO) -> Iterator[ArcRecord]:
-    """The records of an ARC file, plain or gzip, the version block first."""
+def _url_text(raw: bytes) -> str:
+    """A url's bytes as text; those that are no UTF-8 are percent-encoded."""
+    return re.sub(r"[\udc80-\udcff]", lambda m: f"%{ord(m[0]) - 0xDC00:02X}", raw.decode("utf-8", "surrogateescape"))
+
+
+def parse_arc(source: bytes | BinaryIO, on_bad: Callable[[int, bytes, str], None] | None = None) -> Iterator[ArcRecord]:
+    """The records of an ARC file, plain or gzip, the version block first.
+
+    A line where a header should be that is none raises ValueError; with on_bad it is reported (its offset in the plain file, its first
+    bytes, what is wrong) and lines are skipped until one is a header. A gzip stream that breaks off ends the file and is reported too.
+    """
     stream = io.BytesIO(source) if isinstance(source, bytes) else source
     start = stream.read(2)
     stream.seek(0)
     if start == b"\x1f\x8b":
         stream = gzip.GzipFile(fileobj=stream)
-    version = 1
-    while line := stream.readline():
-        line = line.rstrip(b"\r\n")
-        if not line:
-            continue
-        match = _V2.match(line) if version == 2 else _V1.match(line)
-        if not match:
-            # The version block's own line has version-1 fields in some version-2 files.
-            match = _V1.match(line)
-        if not match:
-            raise ValueError(f"no ARC header line: {line[:80]!r}")
-        got = {k: v.decode("utf-8", "replace") for k, v in match.groupdict().items()}
-        length = int(got.pop("length"))
-        block = stream.read(length)
-        if got["url"].startswith("filedesc:"):
-            version = 2 if block[:1] == b"2" else 1
-        yield ArcRecord(got.pop("url"), got.pop("ip"), got.pop("date"), got.pop("type"), block, version, len(block) < length, got)
+    version, at, lost = 1, 0, False
+    try:
+        while line := stream.readline():
+            begin, at = at, at + len(line)
+            line = line.rstrip(b"\r\n")
+            if not line:
+                continue
+            match = _V2.match(line) if version == 2 else _V1.match(line)
+            if not match:
+                # The version block's own line has version-1 fields in some version-2 files.
+                match = _V1.match(line)
+            if not match:
+                if on_bad is None:
+                    raise ValueError(f"no ARC header line: {line[:80]!r}")
+                if not lost:
+                    on_bad(begin, line[:200], "no header line")
+                lost = True
+                continue
+            lost = False
+            raw = match.groupdict()
+            url = _url_text(raw.pop("url"))
+            got = {k: v.decode("utf-8", "replace") for k, v in raw.items()}
+            length = int(got.pop("length"))
+            block = stream.read(length)
+            at += len(block)
+            if url.startswith("filedesc:"):
+                version = 2 if block[:1] == b"2" else 1
+            if on_bad is not None and len(block) < length:
+                on_bad(begin, line[:200], "block shorter than declared")
+            yield ArcRecord(url, got.pop("ip"), got.pop("date"), got.pop("type"), block, version, len(block) < length, got)
+    except (EOFError, OSError, zlib.error) as e:
+        if on_bad is None:
+            raise
+        on_bad(at, b"", f"stream breaks off: {e}"[:200])
 
 
 def iso_date(digits: str) -> str:
@@ -214,11 +243,43 @@ def _convert_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.record_batch([pa.array(out, pa.binary())], ["record"])
 
 
-def write_archives(rows: DataFrame, path: str, id_col: str, url_col: str, payload_col: str, original_col: str) -> None:
+def _write(records: DataFrame, path: str, records_a_file: int) -> None:
+    """A column `record` of bytes as gzip files of WARC records."""
+    value = records.select(F.col("record").cast("string").alias("value"))
+    value.write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", records_a_file).text(path)
+
+
+def write_archives(rows: DataFrame, path: str, id_col: str, url_col: str, payload_col: str, original_col: str, records_a_file: int = RECORDS_A_FILE) -> None:
     """A WARC record per row, in gzip files below path; original_col: the id that a revisit refers to, else null."""
     picked = rows.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(payload_col).cast("string").alias("payload"), F.col(original_col).alias("original"))
-    records = picked.mapInArrow(_convert_rows, "record binary").select(F.col("record").cast("string").alias("value"))
-    records.write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_A_FILE).text(path)
+    _write(picked.mapInArrow(_convert_rows, "record binary"), path, records_a_file)
+
+
+def _convert_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file, offset, record, line, problem) of ARC files: a row for each record converted and for each problem met."""
+    names = ["file", "offset", "record", "line", "problem"]
+    kinds = [pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.string()]
+    for batch in batches:
+        for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            out: list[tuple] = []
+            for record in parse_arc(io.BytesIO(content.as_py()), lambda at, line, what: out.append((name, at, None, line, what))):  # noqa: B023
+                out.append((name, None, convert(record).without_end(), None, None))
+                if len(out) >= 500:
+                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+                    out.clear()
+            if out:
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
+
+def convert_archives(spark: SparkSession, arc_path: str, warc_path: str) -> DataFrame:
+    """Convert the ARC files (plain or gzip, of either version) below arc_path to WARC archives below warc_path.
+
+    Returns what could not be read: (file, offset, line, problem). A file is one task's work, as a legacy archive is of a few hundred MB by
+    convention; a bad header costs the records up to the next good one and no more.
+    """
+    got = spark.read.format("binaryFile").load(arc_path).select("path", "content").mapInArrow(_convert_files, "file string, offset bigint, record binary, line binary, problem string")
+    _write(got.where("record is not null"), warc_path, RECORDS_A_FILE)
+    return got.where("problem is not null").select("file", "offset", "line", "problem")
 
 
 class _Inflated(io.RawIOBase):
@@ -291,7 +352,9 @@ def archive_and_read(rows: DataFrame, id_col: str, url_col: str, payload_col: st
     # The digest is computed again for ids that have a revisit alone: equal ids may have different payloads.
     with_original = picked.join(found.hint("shuffle_hash"), (F.col("id") == F.col("r_id")) & (F.sha1(payload) == F.col("r_digest")), "left")
     path = work_dir(spark, "warc")
-    write_archives(with_original, path, "id", "url", "payload", "original")
+    size = picked.agg(F.count("*").alias("n"), F.sum(F.octet_length("payload")).alias("bytes")).first()
+    records_a_file = max(1, min(RECORDS_A_FILE, int(FILE_BYTES * size["n"] / max(1, size["bytes"] or 0))))
+    write_archives(with_original, path, "id", "url", "payload", "original", records_a_file)
     got = read_archives(spark, path)
     return got.select(
         F.col("key").cast(kind).alias(id_col),

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, SQL, round trips and held-out accuracy."""
 
 import base64
+import gzip
 import hashlib
 import io
 import math
@@ -135,6 +136,31 @@ def test_archives_round_trip(spark):
     assert warc.archive_and_read(pages.limit(0), "page_id", "url", "html").count() == 0
 
 
+def test_legacy_files_are_converted(spark, tmp_path):
+    """Both versions, plain and gzip, a truncated file, a bad header between good ones, a url that is no UTF-8, an empty file."""
+    http = b"HTTP/1.1 200 OK\r\n\r\nbody"
+    records = [warc.ArcRecord(f"http://a/{k}", "1.2.3.4", "20010203040506", "text/html", http + bytes([65 + k])) for k in range(3)]
+    one, two = warc.arc_bytes(records, 1), warc.arc_bytes(records, 2)
+    (tmp_path / "arc").mkdir()
+    put = lambda name, data: (tmp_path / "arc" / name).write_bytes(data)
+    put("one.arc", one)
+    put("two.arc.gz", gzip.compress(two[: len(two) // 2]) + gzip.compress(two[len(two) // 2 :]))
+    put("cut.arc", one[:-3])
+    put("broken.arc.gz", gzip.compress(one)[:-12])
+    put("bad.arc", one.replace(b"http://a/1 1.2.3.4", b"http://a/1 what?"))
+    put("odd.arc", b"http://a/\xff 1.2.3.4 2001 text/plain 2\nhi\n")
+    put("empty.arc", b"")
+    bad = warc.convert_archives(spark, str(tmp_path / "arc"), str(tmp_path / "warc")).collect()
+    assert sorted((r["file"].rsplit("/", 1)[1], r["problem"].split(":")[0]) for r in bad) == [("bad.arc", "no header line"), ("broken.arc.gz", "stream breaks off"), ("cut.arc", "block shorter than declared")]
+    got = Counter()
+    for f in (tmp_path / "warc").glob("*.gz"):
+        for r in warc.parse_warc(io.BytesIO(gzip.decompress(f.read_bytes()))):
+            got[r.headers["WARC-Type"], r.headers.get("WARC-Target-URI"), r.block] += 1
+            assert r.headers["WARC-Block-Digest"] == "sha1:" + warc.sha1_base32(r.block)
+    whole = [("response", f"http://a/{k}", http + bytes([65 + k])) for k in range(3)]
+    assert [got[x] for x in whole[:2]] in ([5, 4], [4, 3]) and got["resource", "http://a/%FF", b"hi"] == 1 and got[whole[2]] in (3, 4)
+
+
 # 2: licences.
 
 
