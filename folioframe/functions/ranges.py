@@ -82,77 +82,69 @@ def _year(c: Column, sign: int = 1) -> Column:
     return F.lpad((F.lit(YEAR_OFFSET) + sign * c.cast("int")).cast("string"), 8, "0")
 
 
-def _without_placeholders(t: Column) -> Column:
-    """X for unknown digits: the first day or month on the left of the dash, the last on the right; a wholly unknown side is open."""
-    dash = F.instr(t, "-")
-    left, right = F.substr(t, F.lit(1), dash - 1), F.substr(t, dash + 1)
-    unknown = r"^(XX\.XX\.XXXX|XXXX)"
-    left = F.when(left.rlike(unknown), F.lit("")).otherwise(F.translate(F.regexp_replace(F.regexp_replace(left, r"^XX\.XX\.", "01.01."), r"^XX\.", "01."), "X", "0"))
-    month = F.regexp_extract(right, r"^XX\.(\d\d)\.\d+$", 1)
-    year = F.regexp_extract(right, r"^XX\.\d\d\.(\d{1,4})$", 1)
-    end = F.dayofmonth(F.last_day(F.try_to_date(F.concat(F.lpad(year, 4, "0"), F.lit("-"), month, F.lit("-01")), "yyyy-MM-dd")))
-    right = (
-        F.when(right.rlike(unknown), F.lit(""))
-        .when(right.rlike(r"^XX\.XX\."), F.concat(F.lit("31.12"), F.substr(right, F.lit(6))))
-        .when(end.isNotNull(), F.concat(end.cast("string"), F.substr(right, F.lit(3))))
-        .otherwise(right)
-    )
-    return F.when(dash == 0, t).otherwise(F.concat(left, F.lit("-"), F.translate(right, "X", "9")))
+#: One side of a span: a mark for years before the common era, day and month, year, and another such mark. X is an unknown digit.
+_SIDE = rf"(?:ca\. )?(v)?(?:([0-9X]{{1,2}})\.([0-9X]{{1,2}})\.)?([0-9X]{{1,4}})({BEFORE})?"
+_SPAN = rf"^(?:{_SIDE})?( ?- ?)(?:{_SIDE})?$"
+_ALONE = r"^(?:ca\. )?(v)?(?:(\d{1,2})\.(\d{1,2})\.)?(\d{1,4})$"
+_ISO_DAY = r"^(?:ca\. )?(\d{1,4})-(\d{1,2})-(\d{1,2})$"
 
 
-def times(text: Column, current_year: int, centuries: bool = False) -> Column:
-    """The range `lower_upper` of a span of years or days, null if the text names none; current_year ends an open span.
-
-    With centuries, spans between full hundreds end a year earlier.
-    """
-    t = _let(F.regexp_replace(F.regexp_replace(text, "^ca\\. ", ""), "-ca\\. ", "-"), _without_placeholders)
-    t = F.regexp_replace(t, r"^(\d{1,4})-(\d{1,2}\.\d{1,2}\.\d{1,4})$", "01.01.$1-$2")
-    t = F.regexp_replace(t, r"^(\d{1,2}\.\d{1,2}\.\d{1,4})-(\d{1,4})$", "$1-31.12.$2")
-    t = F.regexp_replace(t, r"^(\d{1,4})-(\d{1,2})-(\d{1,2})$", "$3.$2.$1")
-    t = F.regexp_replace(t, r"^(\d{1,4})-$", "01.01.$1-")
-    return _let(F.regexp_replace(t, r"^-(\d{1,4})$", "-31.12.$1"), lambda u: _times(u, current_year, centuries))
+def _day(year: Column, month: Column, day: Column) -> Column:
+    return F.concat(_year(year), _pad(month, 2), _pad(day, 2))
 
 
-def _times(t: Column, current_year: int, centuries: bool) -> Column:
-    def out(pattern: str, lower: Column, upper: Column) -> tuple[str, Column]:
-        return pattern, F.concat(lower, F.lit("_"), upper)
+def _bounds(year: Column, sign: int = 1) -> tuple[Column, Column]:
+    """The first and the last day of a year."""
+    return F.concat(_year(year, sign), F.lit("0101")), F.concat(_year(year, sign), F.lit("1231"))
 
-    def part(pattern: str, k: int) -> Column:
-        return F.regexp_extract(t, pattern, k)
 
-    def day(pattern: str, k: int) -> Column:
-        return F.concat(_year(part(pattern, k + 2)), F.lpad(part(pattern, k + 1), 2, "0"), F.lpad(part(pattern, k), 2, "0"))
+def times(text: Column, current_year: int, centuries: bool = False) -> Column:
+    """The range `lower_upper` of a span of years or days, null if the text names none; current_year ends an open span.
 
-    first, last = F.lit("0101"), F.lit("1231")
-    cases = []
-    p = r"^(\d{1,4})-(\d{1,4})$"
-    a, b = (part(p, k).cast("int") for k in (1, 2))
+    A span has two sides about a dash, either of which may be missing or wholly unknown, which leaves it open. A side is a year or a day, and an
+    unknown digit the least it can be on the left and the most on the right. `v` before a year, or one of BEFORE behind it, puts the year
+    before the common era: behind the second year, or with `v` at both, that holds for both, else for the first alone, as it does for
+    years about a dash with blanks. With centuries, spans between full hundreds end a year earlier.
+    """
+    return _let(text, lambda t: F.coalesce(_alone(t), F.when(t.rlike(_SPAN), _span(t, current_year, centuries))))
+
+
+def _alone(t: Column) -> Column:
+    """A single year or day."""
+    mark, day, month, year = (F.regexp_extract(t, _ALONE, k) for k in range(1, 5))
+    iso = [F.regexp_extract(t, _ISO_DAY, k) for k in (1, 2, 3)]
+    whole = F.when(mark == "", F.concat_ws("_", *_bounds(year))).otherwise(F.concat_ws("_", *_bounds(year, -1)))
+    one = F.when(day == "", whole).when(mark == "", F.concat_ws("_", _day(year, month, day), _day(year, month, day)))
+    return F.when(t.rlike(_ISO_DAY), F.concat_ws("_", _day(*iso), _day(*iso))).when(t.rlike(_ALONE), one)
+
+
+def _span(t: Column, current_year: int, centuries: bool) -> Column:
+    v1, d1, m1, y1, e1, dash, v2, d2, m2, y2, e2 = (F.regexp_extract(t, _SPAN, k) for k in range(1, 12))
+    open1, open2 = ((y == "") | ((y == "XXXX") & ((d == "") | ((d == "XX") & (m == "XX")))) for y, d, m in ((y1, d1, m1), (y2, d2, m2)))
+    # The least a left side and the most a right side can be.
+    first = {"y": F.translate(y1, "X", "0"), "m": F.when(m1 == "XX", F.lit("01")).otherwise(F.translate(m1, "X", "0")), "d": F.when(d1 == "XX", F.lit("01")).otherwise(F.translate(d1, "X", "0"))}
+    last_y, last_m = F.translate(y2, "X", "9"), F.when(m2 == "XX", F.lit("12")).otherwise(F.translate(m2, "X", "9"))
+    end = F.dayofmonth(F.last_day(F.try_to_date(F.concat_ws("-", F.lpad(last_y, 4, "0"), _pad(last_m, 2), F.lit("01")), "yyyy-MM-dd"))).cast("string")
+    last = {"y": last_y, "m": last_m, "d": F.when(d2 == "XX", F.coalesce(end, F.lit("99"))).otherwise(F.translate(d2, "X", "9"))}
+    by_day = (d1 != "") | (d2 != "")
+    lower = F.when(d1 == "", _bounds(first["y"])[0]).otherwise(_day(first["y"], first["m"], first["d"]))
+    upper = F.when(d2 == "", _bounds(last["y"])[1]).otherwise(_day(last["y"], last["m"], last["d"]))
+    ordered = F.concat_ws("_", F.least(lower, upper), F.greatest(lower, upper))
+
+    a, b = first["y"].cast("int"), last["y"].cast("int")
     low, high = F.least(a, b), F.greatest(a, b)
     if centuries:
         high = F.when((low % 100 == 0) & (high % 100 == 0), high - 1).otherwise(high)
-    cases.append(out(p, F.concat(_year(low), first), F.concat(_year(high), last)))
-    for p, s, u in (
-        (rf"^(\d{{1,4}}){BEFORE}? ?- ?(\d{{1,4}}){BEFORE}$", -1, -1), (rf"^(\d{{1,4}}){BEFORE}? ?- ?(\d{{1,4}})$", -1, 1),
-        (r"^v(\d{1,4}) ?- ?v(\d{1,4})$", -1, -1), (r"^v(\d{1,4}) ?- ?(\d{1,4})$", -1, 1),
-    ):
-        cases.append(out(p, F.concat(_year(part(p, 1), s), first), F.concat(_year(part(p, 2), u), last)))
-    for p, s in ((r"^(\d{1,4})$", 1), (r"^v(\d{1,4})$", -1)):
-        cases.append(out(p, F.concat(_year(part(p, 1), s), first), F.concat(_year(part(p, 1), s), last)))
-    d = r"(\d{1,2})\.(\d{1,2})\.(\d{1,4})"
-    p = rf"^{d}-{d}$"
-    cases.append(out(p, F.least(day(p, 1), day(p, 4)), F.greatest(day(p, 1), day(p, 4))))
-    p = rf"^{d}$"
-    cases.append(out(p, day(p, 1), day(p, 1)))
-    p = rf"^{d}-$"
-    year = part(p, 3).cast("int")
-    start = F.concat(_year(F.least(year, F.lit(current_year))), F.substr(day(p, 1), F.lit(9)))
-    cases.append(out(p, start, F.concat(_year(F.greatest(year, F.lit(current_year))), last)))
-    p = rf"^-{d}$"
-    cases.append(out(p, F.lit("0" * 12), day(p, 1)))
-    found = F.when(F.lit(False), F.lit(""))
-    for pattern, value in cases:
-        found = found.when(t.rlike(pattern), value)
-    return found
+    years = F.concat_ws("_", _bounds(low)[0], _bounds(high)[1])
+
+    letters, marked = (v1 != "") | (v2 != ""), (e1 != "") | (e2 != "")
+    early = F.when(~by_day & ~(letters & (marked | (v1 == ""))), F.concat_ws("_", _bounds(first["y"], -1)[0], F.when((v2 != "") | (e2 != ""), _bounds(last["y"], -1)[1]).otherwise(_bounds(last["y"])[1])))
+
+    now = F.lit(current_year)
+    since = F.concat_ws("_", F.concat(_year(F.least(a, now)), F.substr(lower, F.lit(9))), _bounds(F.greatest(a, now))[1])
+    until = F.concat_ws("_", F.lit("0" * 12), upper)
+    both, plain = ~open1 & ~open2, (dash == "-") & ~letters & ~marked
+    return F.when(both & plain & by_day, ordered).when(both & plain, years).when(both, early).when(plain & ~open1, since).when(plain & ~open2, until)
 
 
 def times_text(code: Column) -> Column:

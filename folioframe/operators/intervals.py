@@ -1,4 +1,4 @@
-"""Closed intervals [lower, upper]: overlap join by buckets, similarity and merging."""
+"""Closed intervals [lower, upper]: overlap join by cells, similarity and merging."""
 
 from __future__ import annotations
 
@@ -8,15 +8,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def overlap_join(left: DataFrame, right: DataFrame, left_range: tuple[str, str], right_range: tuple[str, str], width: int) -> DataFrame:
-    """Pairs whose intervals overlap, each once: both sides are dealt into buckets of `width`, and a pair is kept in the
-    first bucket that both touch. An equi-join on the bucket, so it scales where the inequality alone would be a nested loop."""
+def overlap_join(left: DataFrame, right: DataFrame, left_range: tuple[str, str], right_range: tuple[str, str]) -> DataFrame:
+    """Pairs whose intervals overlap, each once.
+
+    An interval is dealt into cells of its own level only, the widths being powers of two and a level's cells at least as wide as its
+    intervals, so a row is copied twice at most however long its interval is. Cells of two levels meet by an equi-join on the coarser level's
+    cell: each side says which levels the other has (few), and is copied once or twice for each of those. A pair is kept in the first cell that both touch.
+    """
     (a, b), (c, d) = left_range, right_range
-    bucket = lambda x, y: F.explode(F.sequence(F.floor(F.col(x) / width), F.floor(F.col(y) / width)))
-    lhs = left.withColumn("__b", bucket(a, b))
-    rhs = right.withColumn("__b", bucket(c, d))
-    met = lhs.join(rhs, "__b").where((F.col(d) >= F.col(a)) & (F.col(c) <= F.col(b)))
-    return met.where(F.col("__b") == F.floor(F.greatest(F.col(a), F.col(c)) / width)).drop("__b")
+
+    def level(x: str, y: str) -> Column:
+        return F.ceil(F.log2((F.col(y) - F.col(x) + 1).cast("double"))).cast("int")
+
+    lhs, rhs = left.withColumn("__l", level(a, b)), right.withColumn("__r", level(c, d))
+    mine, others = (df.select(n).distinct().agg(F.sort_array(F.collect_list(n)).alias("v")).scalar() for df, n in ((lhs, "__l"), (rhs, "__r")))
+
+    def dealt(df: DataFrame, x: str, y: str, own: str, other: Column) -> DataFrame:
+        """A copy for each cell of each level where a pair with the other side's levels may meet."""
+        copies = df.withColumn("__other", F.explode(other)).withColumn("__w", F.greatest(own, "__other"))
+        width = F.expr("shiftleft(1L, __w)")
+        return copies.withColumn("__cell", F.explode(F.sequence(F.floor(F.col(x) / width), F.floor(F.col(y) / width))))
+
+    one = dealt(lhs, a, b, "__l", others).drop("__w").withColumnRenamed("__other", "__r")
+    two = dealt(rhs, c, d, "__r", mine).drop("__w").withColumnRenamed("__other", "__l")
+    met = one.join(two, ["__l", "__r", "__cell"]).where((F.col(d) >= F.col(a)) & (F.col(c) <= F.col(b)))
+    width = F.expr("shiftleft(1L, greatest(__l, __r))")
+    return met.where(F.col("__cell") == F.floor(F.greatest(F.col(a), F.col(c)) / width)).drop("__cell", "__l", "__r")
 
 
 def score(a: Column, b: Column, c: Column, d: Column) -> Column:

@@ -110,7 +110,7 @@ def split_statements(script: str) -> list[str]:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, member, kind, content) of tar, tar.gz and zip files. kind is read from the member's name: authority, superior, title or other.
+    """(archive, member, kind, content) of tar, tar.gz and zip files. kind is read from the member's name (member_kind).
 
     An archive is one task's work and its members are streamed a batch each, so many archives read in parallel.
     """
@@ -130,9 +130,21 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     yield pa.record_batch([pa.array([name]), pa.array([member]), pa.array([data], pa.binary())], ["archive", "member", "content"])
 
     got = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "archive string, member string, content binary")
-    name = F.lower(F.element_at(F.split("member", "/"), -1))
-    kind = F.when(name.rlike("^aut|norm|autor"), "authority").when(name.rlike("^b|sup|ueber"), "superior").when(name.rlike("^a|tit"), "title").otherwise("other")
-    return got.select("archive", "member", kind.alias("kind"), "content")
+    return got.select("archive", "member", member_kind(F.col("member")).alias("kind"), "content")
+
+
+#: How members of record archives are named. The first letter of a raw member, or the end of a member's name, tells its records.
+RAW_KINDS = {"a": "title", "b": "superior", "c": "authority"}
+NAME_KINDS = {"aut.mrc": "authority", "tit.mrc": "title", "lok.mrc": "local"}
+
+
+def member_kind(member: Column) -> Column:
+    """What records a member holds by its name: title, superior, authority, local, or other."""
+    letter = F.regexp_extract(member, "([abc])[0-9]{3}[.]raw", 1)
+    kind = F.element_at(F.create_map(*(F.lit(x) for pair in RAW_KINDS.items() for x in pair)), letter)
+    for end, name in NAME_KINDS.items():
+        kind = F.when(F.endswith(member, F.lit(end)), F.lit(name)).otherwise(kind)
+    return F.coalesce(kind, F.lit("other"))
 
 
 def column_json(rows: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:

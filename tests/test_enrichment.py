@@ -200,12 +200,12 @@ def test_sections_scripts_archives_and_xml(spark, tmp_path):
     assert list(map(tuple, formats.read_sections(spark, str(tmp_path / "c.conf")).collect())) == [("", "top", "1"), ("A", "name", 'x "y" # z'), ("A", "n", "5")]
     assert formats.split_statements("SELECT ';' ; -- a;b\nINSERT /* ; */ x;# c;\n\n;") == ["SELECT ';'", "INSERT  x"]
     with tarfile.open(tmp_path / "a.tar.gz", "w:gz") as t:
-        for name, data in (("x/aut.mrc", b"1"), ("tit.mrc", b""), ("readme", b"r")):
+        for name, data in (("x/aut.mrc", b"1"), ("tit.mrc", b""), ("readme", b"r"), ("x-lok.mrc", b"l"), ("b001.raw", b"s"), ("c001.raw", b"c"), ("a012.raw", b"t"), ("normal.txt", b"n")):
             info = tarfile.TarInfo(name)
             info.size = len(data)
             t.addfile(info, io.BytesIO(data))
     got = {r["member"]: (r["kind"], bytes(r["content"])) for r in formats.read_archives(spark, str(tmp_path / "a.tar.gz")).collect()}
-    assert got == {"x/aut.mrc": ("authority", b"1"), "tit.mrc": ("title", b""), "readme": ("other", b"r")}
+    assert got == {"x/aut.mrc": ("authority", b"1"), "tit.mrc": ("title", b""), "readme": ("other", b"r"), "x-lok.mrc": ("local", b"l"), "b001.raw": ("superior", b"s"), "c001.raw": ("authority", b"c"), "a012.raw": ("title", b"t"), "normal.txt": ("other", b"n")}
     df = records(spark, ("1", L, [f("001", ("", "1")), f("245", ("a", "<T & x>"), ("b", "y"), ind=("1", "0"))]))
     formats.write_xml(df, str(tmp_path / "xml"))
     back = files.read_xml(spark, str(tmp_path / "xml")).first()

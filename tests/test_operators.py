@@ -23,7 +23,7 @@ def test_overlap_join_is_complete_and_distinct(spark):
     left = [(i, i * 7 % 90, i * 7 % 90 + i % 40) for i in range(40)]
     right = [(i, i * 11 % 90, i * 11 % 90 + i % 25) for i in range(40)]
     got = intervals.overlap_join(
-        spark.createDataFrame(left, "a int, lo int, hi int"), spark.createDataFrame(right, "b int, c int, d int"), ("lo", "hi"), ("c", "d"), 10
+        spark.createDataFrame(left, "a int, lo int, hi int"), spark.createDataFrame(right, "b int, c int, d int"), ("lo", "hi"), ("c", "d")
     ).select("a", "b")
     want = sorted((a, b) for a, lo, hi in left for b, c, d in right if d >= lo and c <= hi)
     assert sorted(map(tuple, got.collect())) == want
@@ -42,7 +42,7 @@ def test_overlap_query_has_every_order(spark):
         met = [k for k, (lo, hi) in spans.items() if hi >= day(ts) and lo <= day(ts) + 3]
         if met:
             want[q] = (len(met), min(met))
-    got = {r["q"]: (r["n"], r["first_k"]) for r in catalogue.QUERIES["interval_overlap_all"](spark, sf).collect()}
+    got = {r["q"]: (r["n"], r["first_k"]) for r in catalogue.QUERIES["interval_overlap"](spark, sf).collect()}
     assert got == want
     assert any(q % 97 for q in got)
 
@@ -84,9 +84,9 @@ def test_closure_queries_reach_every_customer(spark):
     keys = {r[0] for r in spark.read.parquet(f"{sf}/orders.parquet").select("o_custkey").distinct().collect()}
     assert max(keys) >= 1000 and any(k % 3 for k in keys)
     least = lambda k: least(k // 7) if k and k % 7 == 0 and k // 7 in keys else k
-    got = dict(map(tuple, catalogue.QUERIES["connected_components_all"](spark, sf).collect()))
+    got = dict(map(tuple, catalogue.QUERIES["connected_components"](spark, sf).collect()))
     assert got == {n: least(n) for k in keys for n in (k, 7 * k)}
-    assert {r["node"] for r in catalogue.QUERIES["tag_propagation_all"](spark, sf).collect()} == set(got)
+    assert {r["node"] for r in catalogue.QUERIES["tag_propagation"](spark, sf).collect()} == set(got)
 
 
 def test_compare_tells_null_from_empty(spark):
