@@ -92,19 +92,68 @@ def binary_record(leader: str, fields: list, limit: int = 99_999) -> bytes:
     return out
 
 
+_RECORD_END = "\x1d"
+_FIELDS = pa.list_(pa.struct([("tag", pa.string()), ("ind1", pa.string()), ("ind2", pa.string()), ("subfields", pa.list_(pa.struct([("code", pa.string()), ("value", pa.string())])))]))
+
+
 def read_binary(spark: SparkSession, path: str) -> DataFrame:
-    """Records (control_number, leader, fields) of binary files; a file is one task's work, so collections are kept as many files."""
+    """Records (control_number, leader, fields) of binary files of any size: the reader splits them at the byte that ends a record.
+
+    Consecutive parts of a record too long for one are joined where they are in one split; merge_parts joins those that a split divides.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(0):
-                got = list(parse_binary(content.as_py()))
-                for k in range(0, len(got), 1000):
-                    part = got[k : k + 1000]
-                    fields = pa.array([r[2] for r in part], pa.list_(pa.struct([("tag", pa.string()), ("ind1", pa.string()), ("ind2", pa.string()), ("subfields", pa.list_(pa.struct([("code", pa.string()), ("value", pa.string())])))])))
-                    yield pa.record_batch([pa.array([r[0] for r in part]), pa.array([r[1] for r in part]), fields], ["control_number", "leader", "fields"])
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, model.SCHEMA)
+            data = b"".join(x + _RECORD_END.encode() for x in batch.column(0).to_pylist() if x and x.strip())
+            got = list(parse_binary(data))
+            yield pa.record_batch([pa.array([r[0] for r in got], pa.string()), pa.array([r[1] for r in got], pa.string()), pa.array([r[2] for r in got], _FIELDS)], ["control_number", "leader", "fields"])
+
+    rows = spark.read.text(path, lineSep=_RECORD_END).select(F.col("value").cast("binary").alias("value"))
+    return rows.mapInArrow(run, model.SCHEMA)
+
+
+def merge_parts(records: DataFrame) -> DataFrame:
+    """Rows of one control number as one record, with the fields of all in the order of their tags and the first leader."""
+    whole = F.flatten(F.collect_list("fields"))
+    return records.groupBy("control_number").agg(F.first("leader").alias("leader"), model.sorted_fields(whole).alias("fields"))
+
+
+def write_binary(records: DataFrame, path: str, mode: str = "error", records_a_file: int = 0) -> None:
+    """Records as binary files, written by all tasks; records over the limit are split in several parts. mode `append` adds files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [binary_record(leader, fields)[:-1] for leader, fields in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            yield pa.record_batch([pa.array(out, pa.binary())], ["value"])
+
+    rows = records.select("leader", "fields").mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
+    rows.write.mode(mode).option("lineSep", _RECORD_END).option("maxRecordsPerFile", records_a_file).text(path)
+
+
+def detect_format(name: str, head: bytes = b"") -> str:
+    """`xml` or `binary`: by the file's name, else by its first bytes (markup, or five digits of a record's length)."""
+    if name.lower().endswith((".xml", ".xml.gz")):
+        return "xml"
+    if name.lower().endswith((".mrc", ".marc", ".raw")):
+        return "binary"
+    start = head.lstrip(b"\xef\xbb\xbf \t\r\n")
+    if start.startswith(b"<"):
+        return "xml"
+    if len(head) >= 5 and head[:5].isdigit():
+        return "binary"
+    raise ValueError(f"neither name nor contents of {name} tell a record format")
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Records of files of either format; what is there is told by the first file's name and contents."""
+    first = spark.read.format("binaryFile").load(path).select("path", F.substr("content", F.lit(1), F.lit(64)).alias("head")).orderBy("path").first()
+    kind = detect_format(first["path"], bytes(first["head"])) if first else "binary"
+    return read_xml(spark, path) if kind == "xml" else read_binary(spark, path)
+
+
+def read_dsv(spark: SparkSession, path: str, separator: str = ",", quote: str = '"') -> DataFrame:
+    """Rows of separated values with a header line; quotes are doubled inside quotes, and quoted values may hold line ends."""
+    return spark.read.option("header", True).option("sep", separator).option("quote", quote).option("escape", quote).option("multiLine", True).csv(path)
 
 
 def read_xml(spark: SparkSession, path: str) -> DataFrame:
