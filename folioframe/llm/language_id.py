@@ -31,6 +31,7 @@ BUCKETS = 1 << 16
 ORDERS = 3
 PER_LANGUAGE = 4_000
 BLOCK_LANGUAGES = 256
+BROADCAST_LANGUAGES = 100_000
 ALPHA = 0.1
 UNKNOWN = "und"
 #: Code points that are letters, made at first use in each process.
@@ -151,7 +152,11 @@ def train(
     if not size:
         return [Model([], np.zeros((0, BUCKETS), np.float32), np.zeros(0))]
     languages, every = sorted(size), sum(size.values())
-    chosen = rows.join(sizes, "lang").where(F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(1 << 20)) < F.least(F.lit(1.0), per_language / F.col("size")) * (1 << 20))
+    place = F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(1 << 20))
+    shares = docs.sparkSession.createDataFrame([(x, min(1.0, per_language / n) * (1 << 20)) for x, n in size.items()], "lang string, share double")
+    # A name and a number a language: broadcast up to BROADCAST_LANGUAGES of them. Only rows that the largest share would take are asked.
+    shares = F.broadcast(shares) if len(size) <= BROADCAST_LANGUAGES else shares
+    chosen = rows.where(place < min(1.0, per_language / min(size.values())) * (1 << 20)).join(shares, "lang").where(place < F.col("share"))
     counted = chosen.select("lang", "text").mapInArrow(_count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     blocks = [languages[k : k + block_languages] for k in range(0, len(languages), block_languages)]
     if len(blocks) > 1:
