@@ -30,16 +30,18 @@ from pyspark.sql import functions as F
 from folioframe.llm import kernels, partenum
 from folioframe.llm.graph import components
 from folioframe.llm.kernels import U64
-from folioframe.llm.shared import bloom_has, bloom_of, saved, work_dir
+from folioframe.llm.shared import bloom_has, bloom_of, saved, spread_keys, work_dir
 
 WIDTH = 5
 #: A shingle is frequent if it is in so many classes of FLUSH shingles; the most frequent MOST_COMMON are broadcast (1.6 MB).
 LOCAL_COMMON, MOST_COMMON = 4, 200_000
-FLUSH = 1_000_000
+FLUSH = 300_000
 #: Shingles and classes of a block; two blocks meet in one task.
 BLOCK_SHINGLES, BLOCK_CLASSES = 1_000_000, 2_000
 #: Groups of so many classes at least may be broadcast.
 HOT_MEMBERS = 256
+#: Groups of several blocks that are broadcast at most (12 MB); more are joined.
+MOST_LARGE = 1_000_000
 #: Shingles of the texts whose signatures make up a range (about 0.6 signatures each, of 16 bytes).
 RANGE_SHINGLES = 4_000_000
 
@@ -107,8 +109,8 @@ def _stars(sig: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return sig[start], cls[start], edges
 
 
-def _signature_blobs(common_of, parts: int):
-    """(part, blob): signatures of a range with a class of each, and edges found already, dealt over the same ranges."""
+def _signature_blobs(common_of, parts: int, keys: np.ndarray):
+    """(key of a range, blob): signatures of the range with a class of each, and edges found already, dealt over the same ranges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = partenum.Common(common_of.value.view(U64))
@@ -126,7 +128,7 @@ def _signature_blobs(common_of, parts: int):
                 np.int64(cut[p + 1] - cut[p]).tobytes() + sig[cut[p] : cut[p + 1]].tobytes() + cls[cut[p] : cut[p + 1]].tobytes() + edges[cut_edges[p] : cut_edges[p + 1]].tobytes()
                 for p in full
             ]
-            yield pa.record_batch([pa.array(full.astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "blob"])
+            yield pa.record_batch([pa.array(keys[full]), pa.array(blobs, pa.binary())], ["part", "blob"])
 
     return run
 
@@ -205,12 +207,10 @@ def _verify(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"a": classes[at], "b": to[at], "final": pa.array([one] * int(at.sum()), pa.bool_())})
 
 
-def _with_root(rows: DataFrame, roots: DataFrame, members: str) -> DataFrame:
-    """rows joined with the row of their root. Roots with more than a ten-thousandth of all rows are broadcast (ten thousand at most), so that none is one task's key."""
-    hot = max(HOT_MEMBERS, (roots.agg(F.sum(members)).first()[0] or 0) // 10_000)
-    large = F.broadcast(roots.where(F.col(members) > hot))
-    rest = rows.join(large.select("root"), "root", "left_anti").join(roots.where(F.col(members) <= hot), "root")
-    return rows.join(large, "root").unionByName(rest)
+def _hot(roots: DataFrame) -> DataFrame:
+    """Roots with more than a ten-thousandth of all members, and HOT_MEMBERS at least: ten thousand rows at most, which are broadcast, so that none is one task's key."""
+    hot = max(HOT_MEMBERS, (roots.agg(F.sum("members")).first()[0] or 0) // 10_000)
+    return F.broadcast(roots.where(F.col("members") > hot))
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -232,20 +232,22 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     shingles = described.agg(F.sum("n")).first()[0] or 0
     parts = max(8, -(-shingles // RANGE_SHINGLES))
-    blobs = rows.mapInArrow(_signature_blobs(common_of, parts), "part int, blob binary")
-    edges = blobs.repartition(2 * parts, "part").groupBy("part").applyInArrow(_bucket_edges, "a bigint, b bigint")
+    keys = np.array(spread_keys(spark, parts), np.int32)
+    blobs = rows.mapInArrow(_signature_blobs(common_of, parts, keys), "part int, blob binary")
+    edges = blobs.repartition(parts, "part").groupBy("part").applyInArrow(_bucket_edges, "a bigint, b bigint")
     groups = saved(components(edges, f"{path}/candidates"), f"{path}/groups")
 
     classes = described.where("n > 0").groupBy("class").agg(F.min("id").alias("least_id"), F.max("n").alias("n"))
     sized = groups.join(classes.select(F.col("class").alias("node"), "n"), "node")
-    blocks = saved(sized.groupBy("root").agg(
-        F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK_CLASSES)).cast("int").alias("blocks"),
-        F.count("*").alias("members"),
-    ), f"{path}/sizes")
+    blocks = F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK_CLASSES)).cast("int")
+    # Groups of one block are most: only the others are looked up. There is one for each BLOCK_CLASSES classes or BLOCK_SHINGLES shingles at most.
+    large = saved(sized.groupBy("root").agg(blocks.alias("blocks")).where("blocks > 1"), f"{path}/large")
+    large = F.broadcast(large) if large.count() <= MOST_LARGE else large
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.expr("sequence(0, blocks - 1)"))
     tasks = (
-        _with_root(groups, blocks, "members")
+        groups.join(large, "root", "left")
+        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         .select("root", "node", "blocks", mine.alias("m"), other.alias("o"))
         .where("blocks = 1 or m <> o")
         # Where there are several blocks, pairs are numbered from (1, 2): (0, 0) says that a group has one.
@@ -267,9 +269,13 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     open_links = links.where("not final").select("a", "b")
     if not open_links.isEmpty():
         done = done.union(components(open_links, f"{path}/blocks"))
+    done = saved(done, f"{path}/done")
     reached = done.join(classes.select(F.col("class").alias("node"), "least_id"), "node")
     least = saved(reached.groupBy("root").agg(F.min("least_id").alias("component"), F.count("*").alias("members")), f"{path}/least")
-    linked = _with_root(done, least, "members").select(F.col("node").alias("class"), "component")
+    hot = _hot(least)
+    met = done.join(hot.select("root", "component"), "root", "left")
+    linked = met.where("component is not null").union(met.where("component is null").drop("component").join(least.select("root", "component"), "root").select(met.columns))
+    linked = linked.select(F.col("node").alias("class"), "component")
     # A table of its own: the join below then deals both sides for itself alone, and a class with very many copies can be split.
     by_class = saved(
         classes.join(linked, "class", "left").select("class", F.coalesce("component", "least_id").alias("component")), f"{path}/by-class"

@@ -54,6 +54,14 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def spread_keys(spark: SparkSession, n: int) -> list[int]:
+    """An int for each of n partitions that repartition(n, key) puts there, so that n groups of known size never meet in one task."""
+    some = spark.range(0, int(n * (np.log(n + 1) + 12)), 1, 1).select(F.col("id").cast("int").alias("key"))
+    got = dict(some.select("key", F.pmod(F.hash("key"), F.lit(n)).alias("at")).groupBy("at").agg(F.min("key").alias("key")).collect())
+    free = iter(range(-1, -n - 1, -1))  # for a partition that no key was found for
+    return [got[k] if k in got else next(free) for k in range(n)]
+
+
 def numbered(docs: DataFrame, file: str, row: str) -> DataFrame:
     """docs with two bigint columns that tell every row apart: a hash of its file and its place there.
 
