@@ -38,7 +38,7 @@ from folioframe.llm import kernels
 from folioframe.llm.elias_fano import EliasFano
 from folioframe.llm.files import map_arrays, write_arrays
 from folioframe.llm.kernels import U64
-from folioframe.llm.shared import remove, work_dir
+from folioframe.llm.shared import remove, spread_keys, work_dir
 
 END_HASH = U64(0x9D39247E33776D41)
 ALPHA = 0.1
@@ -296,7 +296,7 @@ def _count_words(trie: Trie):
 
 def _make_words(trie: Trie):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        s = key[0].as_py()
+        s = table["shard"][0].as_py()
         h, count = _summed(table)
         low = -(-(s << 32) // trie.shards) << 32
         high = min(-(-((s + 1) << 32) // trie.shards) << 32, 1 << 64)
@@ -372,7 +372,7 @@ def _make_keys(trie_of, k: int):
     """The sorted keys of a shard and, for the next step alone, their counts."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        trie, s = trie_of.value, key[0].as_py()
+        trie, s = trie_of.value, table["shard"][0].as_py()
         level = trie.levels[k]
         keys, count = _summed(table)
         trie.put(f"keys{k}", s, [EliasFano.of(keys - level.bounds[s], max(1, level.end(s) - int(level.bounds[s]))).arrays()])
@@ -455,8 +455,9 @@ def train(docs: DataFrame, text_col: str = "text", shard_tokens: int = SHARD_TOK
     trie = Trie(work_dir(spark, "lm"), max(4, -(-size // (8 * shard_tokens))), shard_tokens, flush)
 
     def made(count, make, shards: int) -> dict:
-        blobs = rows.mapInArrow(count, "shard int, blob binary").repartition(max(8, 2 * shards), "shard")
-        return {r["shard"]: r for r in blobs.groupBy("shard").applyInArrow(make, _MADE).collect()}
+        key = F.element_at(F.lit(spread_keys(spark, shards)), F.col("shard") + 1).alias("key")
+        blobs = rows.mapInArrow(count, "shard int, blob binary").select(key, "shard", "blob").repartition(shards, "key")
+        return {r["shard"]: r for r in blobs.groupBy("key").applyInArrow(make, _MADE).collect()}
 
     got = made(_count_words(trie), _make_words(trie), trie.shards)
     for s, r in got.items():
