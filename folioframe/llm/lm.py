@@ -46,7 +46,7 @@ ALPHA = 0.1
 DISCOUNTS = {2: (0.8, 1.0, 1.2), 3: (0.95, 1.0, 1.2)}
 STEP = 4096.0
 #: Tokens that a task counts before it emits, training tokens of a shard, and tokens scored at a time.
-FLUSH, SHARD_TOKENS, SCORED = 2_000_000, 4_000_000, 500_000
+FLUSH, SHARD_TOKENS, SCORED = 1_600_000, 3_000_000, 500_000
 
 # The trie.
 
