@@ -147,7 +147,7 @@ def test_legacy_files_are_converted(spark, tmp_path):
     put("two.arc.gz", gzip.compress(two[: len(two) // 2]) + gzip.compress(two[len(two) // 2 :]))
     put("cut.arc", one[:-3])
     put("broken.arc.gz", gzip.compress(one)[:-12])
-    put("bad.arc", one.replace(b"http://a/1 1.2.3.4", b"http://a/1 what?"))
+    put("bad.arc", one.replace(b"http://a/1 1.2.3.4 20010203040506", b"http://a/1 garbage"))
     put("odd.arc", b"http://a/\xff 1.2.3.4 2001 text/plain 2\nhi\n")
     put("empty.arc", b"")
     bad = warc.convert_archives(spark, str(tmp_path / "arc"), str(tmp_path / "warc")).collect()
