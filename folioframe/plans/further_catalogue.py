@@ -62,7 +62,7 @@ def xml_files(t: Tables) -> DataFrame:
 @query("SELECT n_name AS key, 'x;' || n_nationkey AS value FROM nation")
 def map_files(t: Tables) -> DataFrame:
     path = _folder(t.spark)
-    t.nation.select(F.concat(F.replace("n_name", F.lit(" "), F.lit("\\ ")), F.lit("=x\;"), F.col("n_nationkey").cast("string"), F.lit(";"))).write.text(path)
+    t.nation.select(F.concat(F.replace("n_name", F.lit(" "), F.lit("\\ ")), F.lit("=x\\;"), F.col("n_nationkey").cast("string"), F.lit(";"))).write.text(path)
     return files.read_map(t.spark, path)
 
 
