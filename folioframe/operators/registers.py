@@ -63,7 +63,7 @@ def reference_terms(records: DataFrame, primary: Column, synonyms: Column, key:
 
     Of records with one term the least key's synonyms count.
     """
-    parts = lambda c: F.filter(F.flatten(F.transform(c, lambda v: F.transform(F.split(v, ","), F.trim))), lambda p: (p != "") & ~p.rlike(number))
+    parts = lambda c: F.filter(F.flatten(F.transform(c, lambda v: F.transform(F.split(v, ","), lambda p: F.trim(p)))), lambda p: (p != "") & ~p.rlike(number))
     got = records.select(F.col(key).alias("__k"), F.array_join(parts(primary), ",").alias("term"), parts(synonyms).alias("s")).where((F.col("term") != "") & (F.size("s") > 1))
     return got.groupBy("term").agg(F.min_by(F.array_join("s", ","), "__k").alias("synonyms"))
 
