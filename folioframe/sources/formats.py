@@ -85,14 +85,23 @@ def read_harvest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sections(spark: SparkSession, path: str) -> DataFrame:
-    """(section, name, value) of a small configuration file: `[section]`, `name = value`, quotes off, # and ; begin comments. Names before any section have ''."""
+    """(section, name, value) of a small configuration file: `[section]`, `name = value`, quotes off, # and ; begin comments. Names before any section have ''.
+
+    `@inherit "section"` takes over what an earlier section has so far; a name stated twice in a section counts as last stated.
+    """
     text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())  # one file of settings, read by the driver
-    out, section = [], ""
+    found: dict[str, dict[str, str]] = {}
+    section = ""
     for line in map(str.strip, text.splitlines()):
         if m := re.match(r"^\[(.+)\]$", line):
             section = m[1].strip()
+        elif m := re.match(r'^@inherit\s+"([^"]+)"$', line):
+            if m[1] not in found or not section:
+                raise ValueError(f"cannot inherit: {line}")
+            found.setdefault(section, {}).update(found[m[1]])
         elif line and line[0] not in "#;" and (m := re.match(r'^([^=]+?)\s*=\s*(?:"((?:[^"\\]|\\.)*)"|([^#;]*?))\s*(?:[#;].*)?$', line)):
-            out.append((section, m[1], re.sub(r"\\(.)", r"\1", m[2]) if m[2] is not None else m[3]))
+            found.setdefault(section, {})[m[1]] = re.sub(r"\\(.)", r"\1", m[2]) if m[2] is not None else m[3]
+    out = [(s, n, v) for s, pairs in found.items() for n, v in pairs.items()]
     return spark.createDataFrame(out, "section string, name string, value string")
 
 

@@ -140,6 +140,12 @@ def test_follow_up_of_merged_keys(spark):
         ("1970", [(1970, None, None, 1970, None, None)]),
         ("12(1990),3 - 14(1992),1", [(1990, 12, 3, 1992, 14, 1)]),
         ("Vol. 2 (1971) - 1980 [N=3]", [(1971, 2, None, 1980, None, None)]),
+        ("6/7.1990/91 - 70/71.1999/00", [(1990, 6, None, 2000, 71, None)]),
+        ("1.1985(lückenhaft) - 7.1990; [1991]-1995/96", [(1985, 1, None, 1990, 7, None), (1991, None, None, 1996, None, None)]),
+        ("1890/95-1896/1900; 1984/85", [(1890, None, None, 1900, None, None), (1984, None, None, 1985, None, None)]),
+        ("1/8.1947/55-; 3.1970-1972/73", [(1947, 1, None, 9999, None, None), (1970, 3, None, 1973, None, None)]),
+        ("12.1990,3-5; 1991,2-; 1990-95", [(1990, 12, 3, 1990, 12, 5), (1991, None, 2, 9999, None, None)]),
+        ("5.1994/95,2; 1994/3", [(1994, 5, 2, 1995, 5, 2), (1994, None, 3, 1994, None, 3)]),
         ("rubbish", []),
         ("", []),
     ],
@@ -198,6 +204,11 @@ def test_feeds_and_harvest(spark, tmp_path):
 def test_sections_scripts_archives_and_xml(spark, tmp_path):
     (tmp_path / "c.conf").write_text('top = 1\n[A]\nname = "x \\"y\\" # z"  # note\n; gone\nn= 5 ; five\n')
     assert list(map(tuple, formats.read_sections(spark, str(tmp_path / "c.conf")).collect())) == [("", "top", "1"), ("A", "name", 'x "y" # z'), ("A", "n", "5")]
+    (tmp_path / "i.conf").write_text('[A]\nx = 1\ny = 2\n[B]\n@inherit "A"\ny = 3\n')
+    assert [tuple(r) for r in formats.read_sections(spark, str(tmp_path / "i.conf")).collect()] == [("A", "x", "1"), ("A", "y", "2"), ("B", "x", "1"), ("B", "y", "3")]
+    (tmp_path / "j.conf").write_text('[B]\n@inherit "A"\n')
+    with pytest.raises(ValueError):
+        formats.read_sections(spark, str(tmp_path / "j.conf"))
     assert formats.split_statements("SELECT ';' ; -- a;b\nINSERT /* ; */ x;# c;\n\n;") == ["SELECT ';'", "INSERT  x"]
     with tarfile.open(tmp_path / "a.tar.gz", "w:gz") as t:
         for name, data in (("x/aut.mrc", b"1"), ("tit.mrc", b""), ("readme", b"r"), ("x-lok.mrc", b"l"), ("b001.raw", b"s"), ("c001.raw", b"c"), ("a012.raw", b"t"), ("normal.txt", b"n")):
