@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from folioframe.functions import text
 from folioframe.operators import graph, intervals, joins, ranking, sets
-from folioframe.plans import enrichment_catalogue, further_catalogue, linking_catalogue, record_catalogue  # noqa: F401
+from folioframe.plans import enrichment_catalogue, functions_catalogue, further_catalogue, linking_catalogue, record_catalogue  # noqa: F401
 from folioframe.plans.registry import ORACLE_SQL, QUERIES, Tables, query  # noqa: F401
 from folioframe.records import model
 from folioframe.records.query import compile_conjunction, compile_query

@@ -19,7 +19,7 @@ def _text(name: str):
 
 
 @query(r"""SELECT p_partkey, trim(p_name, 'aeiou') AS trimmed, CASE WHEN length(p_brand) >= 9 THEN p_brand ELSE lpad(p_brand, 9, '.') END AS padded, regexp_matches(p_type, '^(SMALL|PROMO)') AS small, list_reduce(list_transform([p_name, p_brand], lambda s: replace(s, ' ', '\ ')), lambda a, b: a || ' ' || b) AS joined,
-p_name AS first, lower(to_hex(p_size)) AS hex_size, lower(hex(p_name)) AS hex_name, p_size AS from_hex, array_to_string(list_filter(string_split(p_type, ' '), lambda s: s <> ''), '|') AS parts,
+p_name AS first, lower(to_hex(p_size)) AS hex_size, lower(hex(p_name)) AS hex_name, p_size::BIGINT AS from_hex, array_to_string(list_filter(string_split(p_type, ' '), lambda s: s <> ''), '|') AS parts,
 CASE WHEN length(p_type) <= 12 THEN p_type ELSE substr(p_type, 1, 9) || '...' END AS short, replace(p_brand, '#', '#') AS printable, CASE WHEN p_size % 3 = 0 THEN true WHEN p_size % 3 = 1 THEN false END AS truth FROM part""")
 def scalar_conversions(t: Tables) -> DataFrame:
     joined = scalars.join_escaped(F.array("p_name", "p_brand"), " ")
@@ -132,7 +132,7 @@ CASE WHEN count(*) % 2 = 0 THEN arg_max(o_orderstatus, o_orderkey) END AS status
 @query(_VERSIONS + """SELECT o_custkey, 'name' AS attribute, name AS before, name2 AS after, date_diff('day', t::DATE, u::DATE) AS days FROM v WHERE name <> name2
 UNION ALL SELECT o_custkey, 'status', status, status2, date_diff('day', t::DATE, u::DATE) FROM v WHERE status <> status2""")
 def register_changes(t: Tables) -> DataFrame:
-    return registers.register_changes(*_versions(t), "o_custkey", "t", ["name", "status"])
+    return registers.register_changes(*_versions(t), "o_custkey", "t", ["name", "status"]).withColumn("days", F.col("days").cast("long"))
 
 
 @query(_VERSIONS + "SELECT o_custkey, u AS t, name2 AS name, coalesce(status2, status) AS status FROM v")
