@@ -71,7 +71,7 @@ def _linked(t: Tables) -> DataFrame:
     fields = F.array(
         model.field("001", {"": s("o_orderkey")}, "", ""), model.field("024", {"a": F.concat(F.lit("10.1/"), s("o_custkey")), "2": F.lit("doi")}), model.field("650", {"0": F.concat(F.lit("(DE-588)"), s("o_custkey"))}),
         model.field("856", {"u": F.concat(F.lit("http://h/"), s("o_orderkey"))}), model.field("856", {"u": F.concat(F.lit("h/"), s("o_orderkey"))}), model.field("856", {"u": F.when(o("o_orderkey") % 2 == 0, F.concat(F.lit("urn:"), s("o_custkey"))).otherwise("w.org")}),
-        model.field("880", {"6": F.when(o("o_orderkey") % 3 == 0, "750-01/Hant").otherwise("100-02"), "a": s("o_orderstatus"), "2": F.lit("IxTheo"), "9": F.lit("Z:q")}),
+        model.field("880", {"6": F.when(o("o_orderkey") % 3 == 0, "750-01/Hant").otherwise("100-02"), "a": s("o_orderstatus"), "2": F.lit("own"), "9": F.lit("Z:q")}),
         model.field("LOK", {"0": F.lit("000 x")}), model.field("LOK", {"0": F.lit("852  "), "a": F.lit("one")}), model.field("LOK", {"0": F.lit("936ln"), "a": s("o_orderstatus")}), model.field("LOK", {"0": F.lit("936ln"), "a": F.lit("F")}),
         model.field("LOK", {"0": F.lit("000 x")}), model.field("LOK", {"0": F.lit("852  "), "a": F.when(o("o_orderkey") % 4 == 0, "one").otherwise("two")}), model.field("LOK", {"0": F.lit("936ln"), "a": F.lit("A")}),
         model.field("LOK", {"0": F.lit("866  "), "x": F.when(o("o_orderkey") % 5 == 0, F.concat(F.lit("10.1/"), s("o_custkey"), F.lit(" from 2030")))}),
@@ -80,11 +80,11 @@ def _linked(t: Tables) -> DataFrame:
 
 
 @query("""SELECT o_orderkey::VARCHAR AS control_number, 'http://h/' || o_orderkey || '|' || CASE WHEN o_orderkey % 2 = 0 THEN 'https://nbn-resolving.org/urn:' || o_custkey ELSE 'http://w.org' END || CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE '|https://doi.org/10.1/' || o_custkey END AS links,
-CASE WHEN o_orderkey % 3 = 0 THEN '  ' || o_orderstatus || ',IxTheo,L:hant,Z:q' END AS heading, o_custkey::VARCHAR AS refs, o_orderkey % 4 = 0 AS alone,
+CASE WHEN o_orderkey % 3 = 0 THEN '  ' || o_orderstatus || ',own,L:hant,Z:q' END AS heading, o_custkey::VARCHAR AS refs, o_orderkey % 4 = 0 AS alone,
 array_to_string(list_sort(list_distinct(list_filter(['F', o_orderstatus, CASE WHEN o_orderkey % 4 = 0 THEN 'A' END], lambda x: x IN ('A', 'F', 'O')))), ':') AS notations FROM orders""")
 def record_links(t: Tables) -> DataFrame:
     f = F.col("fields")
-    heading = F.get(F.transform(F.filter(linking.translated_headings(f), lambda x: x["tag"] == "750"), lambda x: F.concat(F.lit("  "), F.array_join(F.transform(x["subfields"], lambda s: s["value"]), ","))), F.lit(0))
+    heading = F.get(F.transform(F.filter(linking.translated_headings(f, "own"), lambda x: x["tag"] == "750"), lambda x: F.concat(F.lit("  "), F.array_join(F.transform(x["subfields"], lambda s: s["value"]), ","))), F.lit(0))
     return _linked(t).select(
         "control_number", F.array_join(model.values(linking.unique_links(f), "856", "u"), "|").alias("links"), heading.alias("heading"), F.array_join(linking.authority_references(f), "|").alias("refs"),
         linking.held_by_alone(f, "one").alias("alone"), model.first_value(linking.with_notations(f, ["one"], ["A", "F", "O"]), "652", "a").alias("notations"),

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from folioframe.records import checks, model
 from folioframe.records.further import _fields, _first
 
-#: Where DOIs, URNs and keys of a repository resolve, and the scripts of headings in field 880 by its link.
-RESOLVERS = {"urn:": "https://nbn-resolving.org/", "10900/": "https://publikationen.uni-tuebingen.de/xmlui/handle/"}
+#: Where URNs resolve, and the scripts of headings in field 880 by its link.
+RESOLVERS = {"urn:": "https://nbn-resolving.org/"}
 SCRIPTS = {"750-01/Hant": "hant", "750-01/Hans": "hans"}
 #: Prefixes of titles of records made for archives, by the first kind that is there.
 ARCHIVES = {"Nachlass": "Nachlass von ", "Teilnachlass": "Teilnachlass von "}
@@ -24,7 +24,7 @@ def authority_references(fields: Column, tags: Sequence[str] = (), prefix: str =
     return F.array_sort(F.array_distinct(numbers))
 
 
-def translated_headings(fields: Column, scheme: str = "IxTheo") -> Column:
+def translated_headings(fields: Column, scheme: str) -> Column:
     """fields with a 750 behind them for each 880 of the scheme in a script of SCRIPTS: its $a, the scheme, and language and Z: in $9."""
     asked = F.filter(_fields(fields, "880"), lambda f: F.exists(f["subfields"], lambda s: (s["code"] == "2") & (s["value"] == scheme)))
 
@@ -48,10 +48,10 @@ def _tail(url: Column) -> Column:
     return F.regexp_replace(url, r"^(?:(?!://).)*://", "")
 
 
-def unique_links(fields: Column) -> Column:
+def unique_links(fields: Column, resolvers: Mapping[str, str] = RESOLVERS) -> Column:
     """856 fields once for each target, in record order, and one added for each DOI of 024.
 
-    A DOI under embargo, named in $x of a local 866, adds none. A link without http is completed by RESOLVERS, else by http://. A target that was seen, or that
+    A DOI under embargo, named in $x of a local 866, adds none. A link without http is completed by the resolver of its beginning (as a repository's own for its keys), else by http://. A target that was seen, or that
     ends like one seen (or it like the target) but for the scheme, takes its field away. A 856 without $u stays. The fold appends a field a step: quadratic in a record's fields.
     """
     embargo = F.flatten(F.transform(F.filter(_fields(fields, "LOK"), lambda f: _first(f, "0").startswith("866")), lambda f: F.transform(F.filter(f["subfields"], lambda s: s["code"] == "x"), lambda s: s["value"])))
@@ -63,8 +63,8 @@ def unique_links(fields: Column) -> Column:
         u = F.trim(_first(f, "u"))
         like = F.exists(s["seen"], lambda v: (is_web(v) | is_web(u)) & (_tail(v).endswith(_tail(u)) | _tail(u).endswith(_tail(v))))
         full = F.when(is_web(u), u)
-        for start, resolver in RESOLVERS.items():
-            full = full.when(u.startswith(start), F.concat(F.lit(resolver), u))
+        for prefix, resolver in resolvers.items():
+            full = full.when(u.startswith(prefix), F.concat(F.lit(resolver), u))
         full = full.otherwise(F.concat(F.lit("http://"), u))
         again = F.array_contains(s["seen"], u) | like | F.array_contains(s["seen"], full)
         first_u = F.transform(f["subfields"], lambda x, i: F.when((x["code"] == "u") & (F.size(F.filter(F.slice(f["subfields"], 1, i), lambda y: y["code"] == "u")) == 0) & ~is_web(u), F.struct(x["code"].alias("code"), full.alias("value"))).otherwise(x))
