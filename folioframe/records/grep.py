@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioframe.operators.graph import _folder
 from folioframe.records import model
 from folioframe.records.query import QueryError
 
@@ -150,18 +151,21 @@ def grep(records: DataFrame, query: str, control_numbers: DataFrame | None = Non
 
 
 def every_kth(rows: DataFrame, order: list[str], k: int) -> DataFrame:
-    """Rows number k, 2k, 3k ... in an order, without a task that sees all rows.
+    """Rows number k, 2k, 3k ... in an order (nulls last), without a task that sees all rows.
 
     Rows are sorted over ranges, and each partition's numbers start behind the counts of those before it; the counts are one small row a partition.
+    The sorted rows are written once and read for both: made twice, adaptive execution may merge the partitions of each in another way.
     """
     from pyspark.sql import Window
 
-    name = "__p"
-    parted = rows.repartitionByRange(*order).withColumn(name, F.spark_partition_id())
-    numbered = parted.withColumn("__n", F.row_number().over(Window.partitionBy(name).orderBy(*order)))
-    counts = numbered.groupBy(name).agg(F.count("*").alias("__c"))
-    offsets = counts.select(name, (F.sum("__c").over(Window.orderBy(name)) - F.col("__c")).alias("__o"))
-    return numbered.join(F.broadcast(offsets), name).where((F.col("__n") + F.col("__o")) % k == 0).drop(name, "__n", "__o", "__c")
+    path, by = _folder(rows.sparkSession), [F.asc_nulls_last(c) for c in order]
+    parted = rows.repartitionByRange(*by).withColumn("__p", F.spark_partition_id())
+    made = parted.withColumn("__n", F.row_number().over(Window.partitionBy("__p").orderBy(*by)))
+    made.write.parquet(path)
+    numbered = rows.sparkSession.read.schema(made.schema).parquet(path)
+    counts = numbered.groupBy("__p").agg(F.count("*").alias("__c"))
+    offsets = counts.select("__p", (F.sum("__c").over(Window.orderBy("__p")) - F.col("__c")).alias("__o"))
+    return numbered.join(F.broadcast(offsets), "__p").where((F.col("__n") + F.col("__o")) % k == 0).drop("__p", "__n", "__o", "__c")
 
 
 def tag_grep(records: DataFrame, pattern: str, key: str = "control_number") -> DataFrame:

@@ -185,3 +185,19 @@ def test_ngrams_against_brute_force(spark):
     got = spark.createDataFrame([(said,), (None,), ("",)], "t string").select(language.ngrams(F.col("t"))).collect()
     assert sorted(got[0][0]) == want
     assert got[2][0] == []
+
+
+def test_every_kth_counts_over_merged_partitions(spark):
+    """Wide rows and their counts shuffle different numbers of bytes, so adaptive execution merges other partitions for each."""
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "40k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 9001, 1, 8).select(((F.col("id") * 7919) % 9001).alias("id"), F.sha2(F.col("id").cast("string"), 512).alias("wide"))
+        rows = rows.union(spark.createDataFrame([(None, "x")], "id bigint, wide string"))
+        got = sorted(map(tuple, grep.every_kth(rows, ["id"], 3).select("id", F.length("wide")).collect()))
+        assert got == [(n, 128) for n in range(2, 9001, 3)]  # the null is last
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
