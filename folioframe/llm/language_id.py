@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioframe.llm import kernels
-from folioframe.llm.shared import saved, work_dir
+from folioframe.llm.shared import give_back, saved, work_dir
 from folioframe.llm.kernels import U64
 
 BUCKETS = 1 << 16
@@ -138,6 +138,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         counts[x] = np.zeros(BUCKETS, np.int64)
                     counts[x][key[edge[i] : edge[i + 1]] - i * BUCKETS] += n[edge[i] : edge[i + 1]]
     yield from out()
+    give_back()
 
 
 def train(

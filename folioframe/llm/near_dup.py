@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from folioframe.llm import kernels, partenum
 from folioframe.llm.graph import components
 from folioframe.llm.kernels import U64
-from folioframe.llm.shared import bloom_has, bloom_of, saved, spread_keys, work_dir
+from folioframe.llm.shared import bloom_has, bloom_of, give_back, saved, spread_keys, work_dir
 
 WIDTH = 5
 #: A shingle is frequent if it is in so many classes of FLUSH shingles; the most frequent MOST_COMMON are broadcast (1.6 MB).
@@ -44,6 +44,8 @@ HOT_MEMBERS = 256
 MOST_LARGE = 1_000_000
 #: Shingles of the texts whose signatures make up a range (about 0.6 signatures each, of 16 bytes).
 RANGE_SHINGLES = 4_000_000
+#: Signatures of a range that are sorted at a time (36 MB with what that takes).
+PIECE = 500_000
 
 
 def _batches(batches: Iterator[pa.RecordBatch], flush: int = FLUSH) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
@@ -67,6 +69,8 @@ def _batches(batches: Iterator[pa.RecordBatch], flush: int = FLUSH) -> Iterator[
                 held, n = [], 0
     if held:
         yield take()
+    held.clear()
+    give_back()
 
 
 def _once(value: np.ndarray, first: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,15 +138,26 @@ def _signature_blobs(common_of, parts: int, keys: np.ndarray):
 
 
 def _bucket_edges(table: pa.Table) -> pa.Table:
-    """Edges from each class of a signature to the least one there, for one range of signatures."""
-    sigs, of, known = [], [], []
-    for blob in table["blob"].to_pylist():
+    """Edges from each class of a signature to the least one there, for one range of signatures.
+
+    Blobs are read in place, and as each has its signatures in order, the range is sorted piece by piece.
+    """
+    give_back()
+    sigs, of, found = [], [], []
+    for blob in (x.as_buffer() for chunk in table["blob"].chunks for x in chunk):
         n = int(np.frombuffer(blob, np.int64, 1)[0])
         sigs.append(np.frombuffer(blob, U64, n, 8))
         of.append(np.frombuffer(blob, np.int64, n, 8 + 8 * n))
-        known.append(np.frombuffer(blob, np.int64, -1, 8 + 16 * n).reshape(-1, 2))
-    _, _, edges = _stars(np.concatenate(sigs), np.concatenate(of))
-    pairs = np.unique(np.concatenate([edges, *known]), axis=0)
+        found.append(np.frombuffer(blob, np.int64, -1, 8 + 16 * n).reshape(-1, 2))
+    full = [s for s in sigs if len(s)]
+    low, end = (min(int(s[0]) for s in full), max(int(s[-1]) for s in full) + 1) if full else (0, 1)
+    pieces = -(-sum(map(len, full)) // PIECE)
+    inner = np.array([low + (end - low) * k // pieces for k in range(1, pieces)], U64)
+    cuts = [[0, *np.searchsorted(s, inner).tolist(), len(s)] for s in sigs]
+    for k in range(pieces):
+        sig, cls = (np.concatenate([x[c[k] : c[k + 1]] for x, c in zip(xs, cuts, strict=True)]) for xs in (sigs, of))
+        found.append(_stars(sig, cls)[2])
+    pairs = np.unique(np.concatenate(found), axis=0)
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 

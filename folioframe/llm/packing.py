@@ -30,6 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioframe.llm.shared import give_back
+
 WINDOW = 1024
 SHARD = 16_384
 #: Padding that a planned combination may leave, in tokens.
@@ -219,6 +221,7 @@ def _pieces(window: int):
                 held += part.num_rows
         if held:
             yield flush()
+        give_back()
 
     return run
 

@@ -868,3 +868,27 @@ def test_against_duckdb(spark, name):
     assert sorted(names) == sorted(got.columns)
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(map(tuple, got.select(*names).collect()), key=key) == sorted(map(tuple, want), key=key)
+
+
+def test_edges_of_a_range_take_less_memory_than_its_signatures():
+    """The range of signatures that one task has is sorted in pieces; before, copies of all of it took several times its size."""
+    import tracemalloc
+
+    from folioframe.llm import near_dup
+
+    rng = np.random.default_rng(3)
+    sigs = [np.sort(rng.integers(1 << 62, 1 << 63, 40_000).astype(np.uint64)) for _ in range(100)]
+    sigs[7][:100] = sigs[3][:100]
+    sigs[7].sort()
+    classes = [rng.integers(-(1 << 62), 1 << 62, 40_000) for _ in sigs]
+    known = np.array([[5, 3]])
+    blobs = [np.int64(len(s)).tobytes() + s.tobytes() + c.tobytes() for s, c in zip(sigs, classes, strict=True)] + [np.int64(0).tobytes() + known.tobytes()]
+    table = pa.table({"blob": pa.array(blobs, pa.binary())})
+    tracemalloc.start()
+    got = near_dup._bucket_edges(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    *_, want = near_dup._stars(np.concatenate(sigs), np.concatenate(classes))
+    assert sorted(zip(got["a"].to_pylist(), got["b"].to_pylist(), strict=True)) == sorted(map(tuple, [*want.tolist(), (5, 3)]))
+    assert len(want) == 100
+    assert peak < sum(map(len, blobs))
