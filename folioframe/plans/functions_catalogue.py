@@ -196,4 +196,5 @@ y AS (SELECT doc_id, sqrt(sum(n::DOUBLE * n)) AS norm FROM d GROUP BY doc_id) SE
 def profiled_languages(t: Tables) -> DataFrame:
     rows = t.documents.where("lang is not null")
     got = language.candidates(rows.select("doc_id", "text"), language.profiles(rows, "lang", "text"), "doc_id", "text", "lang")
-    return got.select("doc_id", "lang", F.round("score", 6).alias("score"))
+    shared = got.where("score > 0").groupBy("doc_id").agg(F.min("lang").alias("lang"), F.max("score").alias("score"))  # of equal ones the first
+    return shared.select("doc_id", "lang", F.round("score", 6).alias("score"))

@@ -172,6 +172,16 @@ def test_language_candidates(spark):
     assert len(got(0.0)) == 6
 
 
+def test_candidates_shuffle_no_ngrams_and_merge_equal_keys(spark):
+    model_ = spark.createDataFrame([("en", "a", 1.0), ("de", "b", 1.0)], "lang string, ngram string, weight double")
+    asked = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b b"), (None, "a")], "id int, text string").repartition(3)
+    got = language.candidates(asked, model_, "id", "text", "lang")
+    # Of "a b b": n-grams of b twice, so a norm of sqrt(4 * (1 + 4)) with _a, a_, _a_ beside a.
+    assert sorted((r["id"], r["lang"], round(r["score"], 6)) for r in got.collect()) == [(1, "en", 0.5), (2, "de", round(2 / 20**0.5, 6))]
+    one = language.candidates(asked.where("id = 1"), model_, "id", "text", "lang")
+    assert "HashAggregate" not in one._jdf.queryExecution().executedPlan().toString()
+
+
 def test_shortest_cycle(spark):
     def found(pairs):
         return [r["node"] for r in graph.shortest_cycle(spark.createDataFrame(pairs, "a int, b int"), "a", "b").orderBy("place").collect()]
