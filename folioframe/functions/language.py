@@ -113,11 +113,12 @@ def _cosines(words: pa.Array, first: np.ndarray, postings: dict[str, list[tuple[
         b = max(a + 1, int(np.searchsorted(grams, grams[a] + CHUNK_GRAMS, side="right")) - 1)
         some = slice(edge[a], edge[b])
         at, size = _spans(start, word[some])
-        key = np.repeat(text[some] - a, size) * len(gram_names) + number[at]
-        order = np.argsort(key)
-        key = key[order]
+        # n-gram and count in one number, as sorting that is faster than sorting places; both fit, as texts and n-grams of a chunk are few.
+        bits = int(n[some].max(initial=1)).bit_length()
+        packed = np.sort(((np.repeat(text[some] - a, size) * len(gram_names) + number[at]) << bits) | np.repeat(n[some], size))
+        key, count = packed >> bits, packed & ((1 << bits) - 1)
         new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        count = np.add.reduceat(np.repeat(n[some], size)[order], new).astype(float) if len(key) else np.zeros(0)
+        count = np.add.reduceat(count, new).astype(float) if len(key) else np.zeros(0)
         squares[a:b] = np.bincount(key[new] // len(gram_names), count * count, minlength=b - a)
         a = b
     return dots, np.sqrt(squares)
